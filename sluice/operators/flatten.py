@@ -42,9 +42,7 @@ def leaves(
 
 
 def _roots(df: DataFrame, value: str, keep: Sequence[str] = ()) -> DataFrame:
-    return df.where(F.col(value).isNotNull()).select(
-        *keep, F.lit("").alias("path"), F.col(value).alias("leaf")
-    )
+    return df.select(*keep, F.lit("").alias("path"), F.col(value).alias("leaf"))
 
 
 def _open(level: DataFrame, keep: Sequence[str], sep: str) -> DataFrame:

@@ -71,8 +71,7 @@ def unwrap(pages: DataFrame, body: str = "body", keep: Sequence[str] | None = No
     results/data/items/records that is a list, else itself; JSON null gives
     nothing; other scalars give one `raw_response` record.
     """
-    keep = _kept(pages, body, keep)
-    return with_items(pages, body).select(*keep, F.posexplode("items").alias("pos", "value"))
+    return _one_row_each(with_items(pages, body), _kept(pages, body, keep), F.col("items"))
 
 
 def records_at(
@@ -101,12 +100,26 @@ def records_at(
     if scalar_page == "skip":
         single = F.when(V.is_object(value), single)
     records = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.when(value.isNotNull(), single))
-    return found.select(*keep, F.posexplode(records).alias("pos", "value"))
+    return _one_row_each(found, keep, records)
+
+
+def decode(df: DataFrame, text: str, keep: Sequence[str] | None = None) -> DataFrame:
+    """One record per JSON text: `keep` columns, `pos` 0 and `value VARIANT`."""
+    records = F.array(parse_strict(F.col(text)))
+    return _one_row_each(df, _kept(df, text, keep), records)
+
+
+def _one_row_each(df: DataFrame, keep: Sequence[str], records: Column) -> DataFrame:
+    # For a plain posexplode Spark infers filters on its argument and pushes them,
+    # with all the parsing in them, down to the scan. The outer form parses once.
+    exploded = df.select(*keep, F.posexplode_outer(records).alias("pos", "value"))
+    return exploded.where(F.col("value").isNotNull())
 
 
 def raw_records(pages: DataFrame, name: str, body: str = "body") -> DataFrame:
     """JSON text of every record in one STRING column called `name`."""
-    return pages.select(F.explode(record_texts(F.col(body))).alias(name))
+    texts = pages.select(F.explode_outer(record_texts(F.col(body))).alias(name))
+    return texts.where(F.col(name).isNotNull())
 
 
 def project(records: DataFrame, schema: T.StructType | str, text: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -119,12 +132,14 @@ def project_values(
     records: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Flattened, typed columns of a VARIANT: `a.b` is member b of a, or the member a.b."""
-    source = F.col(value)
+    # Two projections, so that each member is looked up once however it is converted.
+    members = [
+        V.flattened(F.col(value), f.name).alias(f"_member{n}") for n, f in enumerate(schema.fields)
+    ]
     columns = [
-        V.convert(V.flattened(source, field.name), field.dataType).alias(field.name)
-        for field in schema.fields
+        V.convert(F.col(f"_member{n}"), f.dataType).alias(f.name) for n, f in enumerate(schema.fields)
     ]
-    return records.select(*keep, *columns)
+    return records.select(*keep, *members).select(*keep, *columns)
 
 
 def append_endpoints(*frames: DataFrame) -> DataFrame:

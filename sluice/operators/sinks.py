@@ -48,12 +48,13 @@ def conversion_incidents(
     records: DataFrame, schema: T.StructType, value: str = "value"
 ) -> DataFrame:
     """Incident rows for values that are present but do not convert to their column."""
-    checks = []
-    for field in schema.fields:
-        found = V.flattened(F.col(value), field.name)
+    checks, members = [], []
+    for n, field in enumerate(schema.fields):
+        found = F.col(f"_member{n}")
+        members.append(V.flattened(F.col(value), field.name).alias(f"_member{n}"))
         lost = found.isNotNull() & V.convert(found, field.dataType).isNull()
         checks.append(F.when(lost, _not_as(field, V.text_of(found))))
-    return _record_incidents(records, checks)
+    return _record_incidents(records.select("endpoint", "page", *members), checks)
 
 
 def null_incidents(records: DataFrame, schema: T.StructType) -> DataFrame:
@@ -72,7 +73,8 @@ def _not_as(field: T.StructField, text: Column) -> Column:
 
 def _record_incidents(records: DataFrame, checks: list[Column]) -> DataFrame:
     messages = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    return records.select("endpoint", "page", F.explode(messages).alias("message")).select(
+    found = records.select("endpoint", "page", F.explode_outer(messages).alias("message"))
+    return found.where(F.col("message").isNotNull()).select(
         "endpoint",
         "page",
         F.lit(None).cast("int").alias("status"),

@@ -6,7 +6,6 @@ import json
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sluice.functions.envelopes import parse_strict
 from sluice.operators import filters, records as R
 from sluice.operators.paging import (
     failed_pages,
@@ -95,7 +94,7 @@ def filter_residual(spark, sf_dir):
 )
 def filter_nested(spark, sf_dir):
     body = F.concat(F.lit('{"e":{"type":"'), "event_type", F.lit('","props":'), "props", F.lit("}}"))
-    records = table(spark, sf_dir, "events").select("event_id", parse_strict(body).alias("value"))
+    records = R.decode(table(spark, sf_dir, "events").select("event_id", body.alias("body")), "body")
     wanted = [("e.type", "=", "click"), ("e.props.k", "in", [1, 2, 3])]
     return filters.where_value(records, wanted).select("event_id")
 
@@ -337,10 +336,9 @@ def json_sink(spark, sf_dir):
 def endpoint_sink(spark, sf_dir):
     path = new_base(spark, "endpoints")
     records = table(spark, sf_dir, "orders").select(
-        F.col("o_orderstatus").alias("endpoint"),
-        parse_strict(as_json("o_custkey", "o_orderkey")).alias("value"),
+        F.col("o_orderstatus").alias("endpoint"), as_json("o_custkey", "o_orderkey").alias("body")
     )
-    write_records(records, path)
+    write_records(R.decode(records, "body"), path)
     return spark.read.text(path).select("endpoint", F.col("value").alias("record"))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from sluice.functions import values as V
-from sluice.functions.envelopes import parse_strict
 from sluice.operators import records as R
 from sluice.operators.flatten import flatten_long as to_leaves, flatten_struct
 from sluice.queries.registry import query
@@ -117,8 +116,8 @@ def json_path(spark, sf_dir):
         .when(inner == 2, F.concat(F.lit('{"a":[{"b":'), "props", F.lit("}]}")))
         .otherwise(F.concat(F.lit('{"a":{"b":'), "props", F.lit("}}")))
     )
-    found = V.at_path(parse_strict(body), "a.b.k")
-    return table(spark, sf_dir, "events").select("event_id", V.to_long(found).alias("k"))
+    records = R.decode(table(spark, sf_dir, "events").select("event_id", body.alias("body")), "body")
+    return records.select("event_id", V.to_long(V.at_path(F.col("value"), "a.b.k")).alias("k"))
 
 
 @query(
@@ -180,7 +179,7 @@ def _nested(spark, sf_dir):
        UNION ALL SELECT event_id, 'none', 'null' FROM events""",
 )
 def flatten_long(spark, sf_dir):
-    records = _nested(spark, sf_dir).select("event_id", parse_strict(F.col("record")).alias("value"))
+    records = R.decode(_nested(spark, sf_dir), "record")
     return to_leaves(records, keep=("event_id",), depth=4)
 
 
@@ -204,5 +203,5 @@ def flatten_values(spark, sf_dir):
             T.StructField("tags", T.StringType()),
         ]
     )
-    records = _nested(spark, sf_dir).select("event_id", parse_strict(F.col("record")).alias("value"))
+    records = R.decode(_nested(spark, sf_dir), "record")
     return R.project_values(records, schema, keep=("event_id",))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
-from sluice.functions.envelopes import parse_strict
 from sluice.operators.infer import column_types
-from sluice.operators.records import project
+from sluice.operators.records import decode, project
 from sluice.operators.sinks import conversion_incidents, null_incidents
 from sluice.plans.schema_document import schema_from
 from sluice.queries.registry import query
@@ -16,9 +15,8 @@ from sluice.queries.tables import as_json, pick, table
 def _value(spark, sf_dir, choices: list[str]) -> DataFrame:
     """Orders with one of the JSON `choices` each, decoded from a record's member x."""
     body = F.concat(F.lit('{"x":'), pick(F.col("o_orderkey"), choices), F.lit("}"))
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", V.at_path(parse_strict(body), "x").alias("x")
-    )
+    records = decode(table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body")), "body")
+    return records.select("o_orderkey", V.at_path(F.col("value"), "x").alias("x"))
 
 
 LONGS = ["3", "1.9", "true", '"3"', '"3.9"', '" 12 "', '"abc"', "-7", "null", '""', "9223372036854775808", "-2.5"]
@@ -149,7 +147,7 @@ def infer_types(spark, sf_dir):
     # The two members whose kind changes from record to record are set in the text.
     body = F.regexp_replace(body, r'"amount":1\.0', '"amount":1')
     body = F.concat(F.regexp_replace(body, r"\}$", ""), F.when(even, F.lit(',"mixed":true}')).otherwise(F.lit(',"mixed":7}')))
-    records = table(spark, sf_dir, "orders").select(parse_strict(body).alias("value"))
+    records = decode(table(spark, sf_dir, "orders").select(body.alias("body")), "body")
     return column_types(records, depth=2)
 
 
@@ -238,9 +236,10 @@ def not_null_violations(spark, sf_dir):
 )
 def conversion_failures(spark, sf_dir):
     body = F.concat(F.lit('{"x":'), pick(F.col("o_orderkey"), LONGS), F.lit("}"))
-    records = table(spark, sf_dir, "orders").select(
-        F.lit("orders").alias("endpoint"), F.col("o_orderkey").alias("page"), parse_strict(body).alias("value")
+    pages = table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("endpoint"), F.col("o_orderkey").alias("page"), body.alias("body")
     )
+    records = decode(pages, "body")
     return conversion_incidents(records, T.StructType([T.StructField("x", T.LongType())]))
 
 
