@@ -13,25 +13,23 @@ DECODE_ROUNDS = 3
 # JSON white space.
 BLANKS = " \t\r\n"
 
-_END = "#end-of-body"
+# Stands after a text, never inside one.
+_END = "\u241c end of body \u241c"
 
 
-def parse_strict(text: Column) -> Column:
-    """JSON text to VARIANT; null when any part of the text is not JSON.
+def listed(text: Column) -> Column:
+    """The parsed text as first element of a list with a known last element.
 
     `try_parse_json` stops after the first complete value, so `{..}{..}` would
-    silently lose its second half. Inside a list with a known last element the
-    whole text has to be consumed.
+    silently lose its second half. Inside the list the whole text is consumed.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
 
-    def complete(found: Column) -> Column:
-        return (F.try_variant_get(found, "$[1]", "string") == _END) & F.try_variant_get(
-            found, "$[2]", "variant"
-        ).isNull()
 
-    # The lambda keeps `listed` a single expression, so that the text is parsed once.
-    return F.try_variant_get(F.get(F.filter(F.array(listed), complete), F.lit(0)), "$[0]", "variant")
+def sole(parsed: Column) -> Column:
+    """The value of a `listed` text; null when any part of the text is not JSON."""
+    complete = F.try_variant_get(parsed, "$[1]", "string") == _END
+    return F.when(complete, F.try_variant_get(parsed, "$[0]", "variant"))
 
 
 def first_character(text: Column) -> Column:
@@ -51,26 +49,27 @@ def records_in(value: Column) -> Column:
     )
 
 
-def record_texts(body: Column) -> Column:
-    """JSON text of every record: the elements of a list, else the body itself.
+def elements_as_text(body: Column) -> Column:
+    """Texts of a list's elements, numbers as spelled; strings come without quotes."""
+    return F.when(first_character(body) == "[", F.from_json(body, "array<string>"))
 
-    Numbers keep their spelling (`1.0` stays `1.0`). List elements that are
-    strings are told apart by their kind and quoted again.
+
+def may_hold_strings(body: Column, texts: Column) -> Column:
+    """False only if every element text surely is an object.
+
+    A text that starts like an object can be a string only where a quote is
+    followed by a brace in the body.
     """
-    parsed = parse_strict(body)
-    is_list = first_character(body) == "["
-    texts = F.from_json(body, "array<string>")
-    kinds = F.try_variant_get(parsed, "$", "array<variant>")
-    quoted = F.zip_with(
+    looks_like_object = F.forall(texts, lambda t: F.coalesce(t.startswith("{"), F.lit(False)))
+    return ~looks_like_object | body.rlike(r'"\s*([{]|\\u007[bB])')
+
+
+def quote_strings(texts: Column, kinds: Column) -> Column:
+    """Element texts with strings quoted again, told apart by their parsed values."""
+    return F.zip_with(
         texts,
         kinds,
         lambda t, v: F.when(F.schema_of_variant(v) == "STRING", F.to_json(v)).otherwise(
             F.coalesce(t, F.lit("null"))
         ),
     )
-    # A string element that looks like an object is the only ambiguous case.
-    plain = ~body.rlike(r'"\s*([{]|\\u007[bB])') & F.forall(texts, lambda t: F.coalesce(t.startswith("{"), F.lit(False)))
-    return F.when(
-        parsed.isNotNull(),
-        F.when(~is_list, F.array(F.trim(body, F.lit(BLANKS)))).when(plain, texts).otherwise(quoted),
-    )

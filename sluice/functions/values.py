@@ -16,6 +16,7 @@ ISO_TIMESTAMP = (
 # Forms with a zone but no minutes, or no seconds, which the cast wants spelled out.
 _HOUR_AND_ZONE = r"^(.{11}\d{2})(Z|[+-]\d{2}:\d{2})$"
 _MINUTE_AND_ZONE = r"^(.{11}\d{2}:\d{2})(Z|[+-]\d{2}:\d{2})$"
+INTEGER = r"^\s*[+-]?\d{1,19}\s*$"
 NUMBER = (
     r"^\s*[+-]?(\d+[.]?\d*|[.]\d+)([eE][+-]?\d+)?\s*$"
     r"|(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
@@ -49,34 +50,35 @@ def child(value: Column, key: str) -> Column:
 
 
 def at_keys(value: Column, keys: list[str] | tuple[str, ...]) -> Column:
-    """Value below the nested object members `keys`; missing or JSON null gives null."""
-    simple = [k for k in keys if "'" not in k]
-    if keys and len(simple) == len(keys):
-        steps = "".join(f"['{k}']" for k in keys)
-        return json_null_to_null(F.try_variant_get(value, f"${steps}", "variant"))
+    """Value below the nested object members `keys`, JSON null included."""
+    if not any("'" in k for k in keys):
+        return F.try_variant_get(value, "$" + "".join(f"['{k}']" for k in keys), "variant")
     for key in keys:
         value = child(value, key)
-    return json_null_to_null(value)
+    return value
 
 
 def at_path(value: Column, path: str | None) -> Column:
-    """Dotted path navigation through objects only; an empty path is the value itself."""
-    return at_keys(value, path.split(".")) if path else value
+    """Dotted path navigation through objects only; an empty path is the value itself.
+    What is missing or JSON null gives null."""
+    return json_null_to_null(at_keys(value, path.split("."))) if path else value
 
 
 def flattened(value: Column, name: str) -> Column:
-    """Leaf that flattening calls `name`. A dot may part two keys or belong to one;
-    where both exist, the longer key wins, as it comes last in key order."""
+    """Leaf that flattening calls `name`, JSON null included.
+
+    A dot may part two keys or belong to one; nested keys are tried first.
+    """
     if name == ROOT:
-        return F.coalesce(at_keys(value, [name]), F.when(~is_object(value), json_null_to_null(value)))
+        return F.coalesce(at_keys(value, [name]), F.when(~is_object(value), value))
     return F.coalesce(*[at_keys(value, keys) for keys in _key_splits(name.split("."))])
 
 
 def _key_splits(words: list[str]) -> list[list[str]]:
-    splits = [[".".join(words)]]
-    for n in range(len(words) - 1, 0, -1):
+    splits = []
+    for n in range(1, len(words)):
         splits += [[".".join(words[:n])] + rest for rest in _key_splits(words[n:])]
-    return splits
+    return splits + [[".".join(words)]]
 
 
 # ---------------------------------------------------------------- conversion
@@ -87,12 +89,11 @@ def text_of(value: Column) -> Column:
     text = F.try_variant_get(value, "$", "string")
     k = kind(value)
     # A variant keeps 1.0 as the decimal 1; 19 digits and more are large integers.
-    whole_float = k.startswith("DECIMAL") & ~text.contains(".") & (F.length(F.ltrim(text, F.lit("-"))) < 19)
+    digits = F.length(F.ltrim(text, F.lit("-")))
     return (
-        F.when(k == "VOID", F.lit(None).cast("string"))
-        .when(k.startswith("ARRAY") | k.startswith("OBJECT"), F.to_json(value))
-        .when(whole_float, F.concat(text, F.lit(".0")))
-        .otherwise(text)
+        F.when(k.isin("STRING", "BIGINT", "BOOLEAN", "DOUBLE"), text)
+        .when(k.startswith("DECIMAL"), F.when(text.contains(".") | (digits >= 19), text).otherwise(F.concat(text, F.lit(".0"))))
+        .when(k != "VOID", F.to_json(value))
     )
 
 
@@ -110,9 +111,10 @@ def iso_timestamp(text: Column) -> Column:
 def to_long(value: Column) -> Column:
     """Floats truncate, booleans give 1 or 0, text must be an integer."""
     text = F.try_variant_get(value, "$", "string")
-    return F.when(kind(value) == "STRING", text.try_cast("bigint")).otherwise(
-        F.try_variant_get(value, "$", "bigint")
-    )
+    # A failed cast costs an exception, so only texts that look like integers get there.
+    return F.when(
+        kind(value) == "STRING", F.when(text.rlike(INTEGER), text.try_cast("bigint"))
+    ).otherwise(F.try_variant_get(value, "$", "bigint"))
 
 
 def to_double(value: Column) -> Column:
@@ -163,9 +165,9 @@ def convert(value: Column, data_type: T.DataType) -> Column:
     return F.try_variant_get(value, "$", data_type.simpleString())
 
 
-def inferred_type(value: Column) -> Column:
+def inferred_type(value: Column, kind_of_value: Column | None = None) -> Column:
     """Name of the inferred type: boolean, long, double, timestamp or string."""
-    k = kind(value)
+    k = kind(value) if kind_of_value is None else kind_of_value
     text = F.try_variant_get(value, "$", "string")
     return (
         F.when(k == "BOOLEAN", F.lit("boolean"))

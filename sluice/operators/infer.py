@@ -28,17 +28,24 @@ def column_types(
 
     Equal types stay, long with double gives double, other mixtures give string;
     nulls count only where nothing else is found. A path is a hot key by nature,
-    but at most five kinds per path leave each task, so the shuffle stays small.
+    but each task passes on one row per path, holding the kinds found as bits.
     """
-    kinds = leaves(records, value, depth=depth).select(
-        "path",
-        F.when(~F.is_variant_null("leaf"), V.inferred_type(F.col("leaf"))).alias("kind"),
+    bit = F.element_at(
+        F.create_map(*[F.lit(x) for n, name in enumerate(INFERRED) for x in (name, 1 << n)]),
+        V.inferred_type(F.col("leaf"), F.col("_kind")),
     )
-    found = kinds.groupBy("path").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
-    widened = (
-        F.when(F.size("kinds") == 1, F.col("kinds")[0])
-        .when(F.col("kinds") == F.array(F.lit("double"), F.lit("long")), F.lit("double"))
-        .otherwise(F.lit("string"))
+    bits = (
+        leaves(records, value, depth=depth)
+        .withColumn("_kind", V.kind(F.col("leaf")))
+        .select("path", F.when(F.col("_kind") != "VOID", bit).otherwise(F.lit(0)).alias("bit"))
+    )
+    found = bits.groupBy("path").agg(F.bit_or("bit").alias("kinds"))
+    names = list(INFERRED)
+    numbers = (1 << names.index("long")) | (1 << names.index("double"))
+    widened = F.coalesce(
+        *[F.when(F.col("kinds") == 1 << n, F.lit(name)) for n, name in enumerate(names)],
+        F.when(F.col("kinds") == numbers, F.lit("double")),
+        F.lit("string"),
     )
     return found.select("path", widened.alias("type"))
 

@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
 from sluice.functions.envelopes import (
+    BLANKS,
     DECODE_ROUNDS,
+    elements_as_text,
     first_character,
-    parse_strict,
+    listed,
+    may_hold_strings,
+    quote_strings,
     raw_response,
-    record_texts,
     records_in,
+    sole,
 )
 
 INVALID_JSON = "invalid JSON"
@@ -27,18 +31,21 @@ def with_items(pages: DataFrame, body: str = "body") -> DataFrame:
     Text inside a string that is not JSON becomes one `raw_response` record; a
     body that is not JSON, or is nested deeper, yields null items and a problem.
     """
-    # One projection per round: the text inside the string, null when there is none.
+    # Projections in sequence, so that each text is parsed once.
     df = pages.withColumns({"_text": F.col(body), "_rounds": F.lit(0)})
     for _ in range(DECODE_ROUNDS):
-        df = df.withColumn("_inner", _string_content(F.col("_text"))).withColumns(
+        quoted = first_character(F.col("_text")) == '"'
+        df = df.withColumn("_listed", F.when(quoted, listed(F.col("_text"))))
+        df = df.withColumn("_inner", F.try_variant_get(sole(F.col("_listed")), "$", "string"))
+        df = df.withColumns(
             {
                 "_text": F.coalesce("_inner", "_text"),
                 "_rounds": F.col("_rounds") + F.col("_inner").isNotNull().cast("int"),
             }
         )
     df = df.withColumns(
-        {"_value": parse_strict(F.col("_text")), "_first": first_character(F.col("_text"))}
-    )
+        {"_listed": listed(F.col("_text")), "_first": first_character(F.col("_text"))}
+    ).withColumn("_value", sole(F.col("_listed")))
     decoded = F.col("_rounds") > 0
     problem = F.when(F.col("_value").isNull() & ~decoded, F.lit(INVALID_JSON)).when(
         F.col("_value").isNotNull() & (F.col("_first") == '"'), F.lit(TOO_DEEP)
@@ -50,11 +57,6 @@ def with_items(pages: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def _string_content(text: Column) -> Column:
-    content = F.try_variant_get(parse_strict(text), "$", "string")
-    return F.when(first_character(text) == '"', content)
-
-
 def _items(text: Column, value: Column, first: Column, decoded: Column) -> Column:
     return (
         F.when(value.isNull(), F.when(decoded, F.array(raw_response(text))))
@@ -91,10 +93,10 @@ def records_at(
         raise ValueError(f"scalar_page must be skip or record, not {scalar_page!r}")
     keep = _kept(pages, body, keep)
     invalid = F.raise_error(F.concat(F.lit(f"{INVALID_JSON}: "), F.left(F.col(body), F.lit(100))))
-    parsed = F.coalesce(parse_strict(F.col(body)), F.when(F.col(body).isNotNull(), invalid))
-    found = pages.select(*keep, parsed.alias("_page")).select(
-        *keep, V.at_path(F.col("_page"), json_path).alias("_found")
+    parsed = pages.select(*keep, body, listed(F.col(body)).alias("_listed")).select(
+        *keep, F.coalesce(sole(F.col("_listed")), F.when(F.col(body).isNotNull(), invalid)).alias("_page")
     )
+    found = parsed.select(*keep, V.at_path(F.col("_page"), json_path).alias("_found"))
     value = F.col("_found")
     single = F.array(value)
     if scalar_page == "skip":
@@ -104,9 +106,12 @@ def records_at(
 
 
 def decode(df: DataFrame, text: str, keep: Sequence[str] | None = None) -> DataFrame:
-    """One record per JSON text: `keep` columns, `pos` 0 and `value VARIANT`."""
-    records = F.array(parse_strict(F.col(text)))
-    return _one_row_each(df, _kept(df, text, keep), records)
+    """One record per JSON text: `keep` columns and `value VARIANT`, null if not JSON."""
+    keep = _kept(df, text, keep)
+    # The generator is a barrier: filters on the value are not pushed below the
+    # parsing, where they would parse the text again.
+    parsed = df.select(*keep, F.explode_outer(F.array(listed(F.col(text)))).alias("_listed"))
+    return parsed.select(*keep, sole(F.col("_listed")).alias("value"))
 
 
 def _one_row_each(df: DataFrame, keep: Sequence[str], records: Column) -> DataFrame:
@@ -117,9 +122,25 @@ def _one_row_each(df: DataFrame, keep: Sequence[str], records: Column) -> DataFr
 
 
 def raw_records(pages: DataFrame, name: str, body: str = "body") -> DataFrame:
-    """JSON text of every record in one STRING column called `name`."""
-    texts = pages.select(F.explode_outer(record_texts(F.col(body))).alias(name))
-    return texts.where(F.col(name).isNotNull())
+    """JSON text of every record in one STRING column called `name`.
+
+    A list gives its elements, anything else is one record. Numbers keep their
+    spelling (`1.0` stays `1.0`). Bodies that are not JSON give nothing here;
+    `with_outcome` reports them.
+    """
+    text, texts, parsed = F.col(body), F.col("_texts"), F.col("_parsed")
+    # Projections in sequence, so that each text is parsed once.
+    staged = pages.select(body, elements_as_text(text).alias("_texts"), listed(text).alias("_listed")).select(
+        body, "_texts", sole(F.col("_listed")).alias("_parsed")
+    )
+    found = (
+        F.when(parsed.isNull(), F.lit(None).cast("array<string>"))
+        .when(texts.isNull(), F.array(F.trim(text, F.lit(BLANKS))))
+        .when(may_hold_strings(text, texts), quote_strings(texts, parsed.try_cast("array<variant>")))
+        .otherwise(texts)
+    )
+    exploded = staged.select(F.explode_outer(found).alias(name))
+    return exploded.where(F.col(name).isNotNull())
 
 
 def project(records: DataFrame, schema: T.StructType | str, text: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -52,7 +52,8 @@ def conversion_incidents(
     for n, field in enumerate(schema.fields):
         found = F.col(f"_member{n}")
         members.append(V.flattened(F.col(value), field.name).alias(f"_member{n}"))
-        lost = found.isNotNull() & V.convert(found, field.dataType).isNull()
+        present = F.coalesce(~F.is_variant_null(found), F.lit(False))
+        lost = present & V.convert(found, field.dataType).isNull()
         checks.append(F.when(lost, _not_as(field, V.text_of(found))))
     return _record_incidents(records.select("endpoint", "page", *members), checks)
 

@@ -68,13 +68,8 @@ def envelope_unwrap(spark, sf_dir):
     for n, body in enumerate(shapes):
         shape = F.when(F.col("o_orderkey") % len(shapes) == n, body).otherwise(shape)
     pages = table(spark, sf_dir, "orders").select("o_orderkey", shape.alias("body"))
-    value = F.col("value")
-    return R.unwrap(pages).select(
-        "o_orderkey",
-        "pos",
-        V.to_long(V.at_path(value, "o_custkey")).alias("o_custkey"),
-        V.text_of(V.at_path(value, "priority")).alias("priority"),
-    )
+    schema = T.StructType().add("o_custkey", T.LongType()).add("priority", T.StringType())
+    return R.project_values(R.unwrap(pages), schema, keep=("o_orderkey", "pos"))
 
 
 @query(
@@ -95,12 +90,8 @@ def double_encoded(spark, sf_dir):
         .otherwise(json_string(text))
     )
     pages = table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
-    value = F.col("value")
-    return R.unwrap(pages).select(
-        "o_orderkey",
-        V.to_long(V.at_path(value, "o_custkey")).alias("o_custkey"),
-        V.text_of(V.at_path(value, "raw_response")).alias("raw_response"),
-    )
+    schema = T.StructType().add("o_custkey", T.LongType()).add("raw_response", T.StringType())
+    return R.project_values(R.unwrap(pages), schema, keep=("o_orderkey",))
 
 
 @query(
@@ -117,7 +108,8 @@ def json_path(spark, sf_dir):
         .otherwise(F.concat(F.lit('{"a":{"b":'), "props", F.lit("}}")))
     )
     records = R.decode(table(spark, sf_dir, "events").select("event_id", body.alias("body")), "body")
-    return records.select("event_id", V.to_long(V.at_path(F.col("value"), "a.b.k")).alias("k"))
+    found = records.select("event_id", V.at_path(F.col("value"), "a.b.k").alias("found"))
+    return found.select("event_id", V.to_long(F.col("found")).alias("k"))
 
 
 @query(
@@ -151,8 +143,8 @@ def _path_records(spark, sf_dir, scalar_page):
     pages = table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
     records = R.records_at(pages, "page.found", scalar_page=scalar_page)
     value = F.col("value")
-    number = F.coalesce(V.at_path(value, "n"), value)
-    return records.select("o_orderkey", "pos", V.to_long(number).alias("n"))
+    found = records.select("o_orderkey", "pos", F.coalesce(V.at_path(value, "n"), value).alias("found"))
+    return found.select("o_orderkey", "pos", V.to_long(F.col("found")).alias("n"))
 
 
 def _nested(spark, sf_dir):

@@ -61,5 +61,5 @@ def new_base(spark: SparkSession, name: str) -> str:
 
 
 def scan_options(spark: SparkSession, pages: int) -> dict[str, int]:
-    """All `pages`, in about four ranges per core."""
-    return {"max_pages": pages, "concurrency": spark.sparkContext.defaultParallelism * 4}
+    """All `pages`, in about two ranges per core."""
+    return {"max_pages": pages, "concurrency": spark.sparkContext.defaultParallelism * 2}
