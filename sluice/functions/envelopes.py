@@ -50,8 +50,12 @@ def records_in(value: Column) -> Column:
 
 
 def elements_as_text(body: Column) -> Column:
-    """Texts of a list's elements, numbers as spelled; strings come without quotes."""
-    return F.when(first_character(body) == "[", F.from_json(body, "array<string>"))
+    """Texts of a list's elements, or of the one other value; strings come without
+    quotes. White space goes, and floats stay floats (`1.0`)."""
+    as_list = F.when(first_character(body) == "[", body).otherwise(
+        F.concat(F.lit("["), body, F.lit("]"))
+    )
+    return F.from_json(as_list, "array<string>")
 
 
 def may_hold_strings(body: Column, texts: Column) -> Column:

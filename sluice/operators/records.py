@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
 from sluice.functions.envelopes import (
-    BLANKS,
     DECODE_ROUNDS,
     elements_as_text,
     first_character,
@@ -124,19 +123,19 @@ def _one_row_each(df: DataFrame, keep: Sequence[str], records: Column) -> DataFr
 def raw_records(pages: DataFrame, name: str, body: str = "body") -> DataFrame:
     """JSON text of every record in one STRING column called `name`.
 
-    A list gives its elements, anything else is one record. Numbers keep their
-    spelling (`1.0` stays `1.0`). Bodies that are not JSON give nothing here;
-    `with_outcome` reports them.
+    A list gives its elements, anything else is one record. Floats stay floats
+    (`1.0`). Bodies that are not JSON give nothing here; `with_outcome` reports
+    them.
     """
     text, texts, parsed = F.col(body), F.col("_texts"), F.col("_parsed")
     # Projections in sequence, so that each text is parsed once.
     staged = pages.select(body, elements_as_text(text).alias("_texts"), listed(text).alias("_listed")).select(
         body, "_texts", sole(F.col("_listed")).alias("_parsed")
     )
+    kinds = F.coalesce(parsed.try_cast("array<variant>"), F.array(parsed))
     found = (
         F.when(parsed.isNull(), F.lit(None).cast("array<string>"))
-        .when(texts.isNull(), F.array(F.trim(text, F.lit(BLANKS))))
-        .when(may_hold_strings(text, texts), quote_strings(texts, parsed.try_cast("array<variant>")))
+        .when(may_hold_strings(text, texts), quote_strings(texts, kinds))
         .otherwise(texts)
     )
     exploded = staged.select(F.explode_outer(found).alias(name))
