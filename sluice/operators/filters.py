@@ -47,7 +47,7 @@ def _condition(triple: tuple, column, as_text) -> Column:
     found = column(name)
     if op == "=":
         if wanted is None:
-            return found.isNull()
+            return as_text(found).isNull()
         return as_text(found) == F.lit(literal_text(wanted))
     if op == "in":
         if isinstance(wanted, (str, bytes)) or not isinstance(wanted, Iterable):

@@ -39,9 +39,13 @@ def _scan(spark, sf_dir, schema: T.StructType = ORDER_FIELDS) -> DataFrame:
     base = new_base(spark, "scan")
     n = stage_pages(table(spark, sf_dir, "orders"), base, "orders")
     stage_pages(table(spark, sf_dir, "nation"), base, "nation")
-    pages = read_pages(spark, base, endpoints=["orders", "nation"], **scan_options(spark, n))
-    # Both filters are taken by the source: neither other endpoints nor other pages are read.
-    pages = pages.where((F.col("endpoint") == "orders") & (F.col("page") <= n))
+    pages = read_pages(
+        spark,
+        base,
+        where=[("endpoint", "=", "orders"), ("page", "<=", n)],
+        endpoints=["orders", "nation"],
+        **scan_options(spark, n + 1),
+    )
     return R.project_values(R.records_at(pages, "data"), schema)
 
 
@@ -104,6 +108,20 @@ def column_pruning(spark, sf_dir):
     return _scan(spark, sf_dir).select("o_orderkey", "o_orderpriority")
 
 
+@query("pushed_filters", "SELECT 'customer' AS endpoint, c_custkey, c_name FROM customer")
+def pushed_filters(spark, sf_dir):
+    base = new_base(spark, "pushed")
+    n = stage_pages(table(spark, sf_dir, "customer"), base, "customer")
+    stage_pages(table(spark, sf_dir, "supplier"), base, "supplier")
+    pages = read_pages(
+        spark, base, endpoints=["customer", "supplier"], filter_pushdown="true", **scan_options(spark, n + 1)
+    )
+    # Both filters are taken by the source: neither the other endpoint nor a page n + 1 is read.
+    pages = pages.where((F.col("endpoint") == "customer") & (F.col("page") <= n))
+    fields = T.StructType().add("c_custkey", T.LongType()).add("c_name", T.StringType())
+    return R.project_values(R.records_at(pages, "data", keep=("endpoint",)), fields, keep=("endpoint",))
+
+
 @query(
     "inferred_table",
     """SELECT c_acctbal, c_custkey, c_mktsegment, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer""",

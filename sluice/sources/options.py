@@ -46,6 +46,7 @@ class PageOptions:
     rate: float
     rate_capacity: float
     max_pages_per_trigger: int
+    filter_pushdown: bool
     request: Request
 
     @staticmethod
@@ -67,6 +68,7 @@ class PageOptions:
             rate=float(text("rate_per_sec") or text("rate") or 0),
             rate_capacity=float(text("rate_capacity", "1")),
             max_pages_per_trigger=int(text("max_pages_per_trigger", "0")),
+            filter_pushdown=text("filter_pushdown", "false").lower() == "true",
             request=parse_request(base_url, options),
         )
         if parsed.concurrency < 1:

@@ -33,6 +33,11 @@ class RestPages(DataSource):
 
     Nothing raises on a bad answer: its status or error is part of the row, as
     only the rows before an endpoint's last page count. See `PageOptions`.
+
+    With `filter_pushdown` true, filters on endpoint and page prune the scan. It is
+    off by default: Spark 4.1 keeps the pruned ranges with the loaded DataFrame,
+    so a later query on the same DataFrame would miss pages. Turn it on for a
+    DataFrame that is used in one query; `readers.read_pages` prunes safely.
     """
 
     @classmethod
@@ -43,7 +48,8 @@ class RestPages(DataSource):
         return RAW_PAGES
 
     def reader(self, schema) -> PageReader:
-        return PageReader(PageOptions.parse(self.options))
+        options = PageOptions.parse(self.options)
+        return PruningPageReader(options) if options.filter_pushdown else PageReader(options)
 
     def streamReader(self, schema):
         from sluice.streaming.page_stream import PageStreamReader
@@ -58,6 +64,15 @@ class PageReader(DataSourceReader):
         self.first = options.start_page
         self.last = options.start_page + options.max_pages - 1
 
+    def partitions(self) -> list[PageRange]:
+        n = max(0, self.last - self.first + 1)
+        return plan(self.endpoints, self.first, n, self.options.concurrency)
+
+    def read(self, partition: PageRange | None) -> Iterator:
+        return read_range(self.options, partition)
+
+
+class PruningPageReader(PageReader):
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         """Takes what selects endpoints and page ranges; Spark does the rest."""
         for f in filters:
@@ -87,13 +102,6 @@ class PageReader(DataSourceReader):
                 return True
         return False
 
-    def partitions(self) -> list[PageRange]:
-        n = max(0, self.last - self.first + 1)
-        return plan(self.endpoints, self.first, n, self.options.concurrency)
-
-    def read(self, partition: PageRange | None) -> Iterator:
-        return read_range(self.options, partition)
-
 
 def read_range(options: PageOptions, partition: PageRange | None) -> Iterator:
     """Arrow batches of raw pages. Spark passes None when there are no partitions."""

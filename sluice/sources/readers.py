@@ -3,23 +3,49 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sluice.operators import filters
 from sluice.operators.flatten import nesting_depth
 from sluice.operators.infer import first_record, infer_schema
-from sluice.operators.paging import failed_pages, good_pages, with_outcome
+from sluice.operators.paging import failed_pages, with_outcome
 from sluice.operators.records import project_values, records_at
 from sluice.operators.sinks import page_incidents
 from sluice.session import configure, shared_folder
 
 
-def read_pages(spark: SparkSession, base_url: str, **options) -> DataFrame:
-    """Raw pages through the `restpages` source; lists and dicts are passed as JSON."""
+def read_pages(
+    spark: SparkSession, base_url: str, where: Sequence[tuple] = (), **options
+) -> DataFrame:
+    """Raw pages through the `restpages` source; lists and dicts are passed as JSON.
+
+    `where` takes filter triples. Those on `endpoint` (=, in) and `page` (=, >,
+    >=, <, <=) narrow what is requested, all of them are applied to the rows.
+    """
     reader = configure(spark).read.format("restpages").option("base_url", base_url)
-    for name, value in options.items():
+    for name, value in _narrowed(options, where).items():
         reader = reader.option(name, value if isinstance(value, (str, int, float)) else json.dumps(value))
-    return reader.load()
+    return filters.where(reader.load(), where)
+
+
+def _narrowed(options: dict, where: Sequence[tuple]) -> dict:
+    endpoints = options.pop("endpoints", None) or [options.pop("endpoint", "")]
+    first = int(options.get("start_page", 1))
+    stop = first + int(options.get("max_pages", 1))
+    for column, op, wanted in where:
+        if column == "endpoint" and op in ("=", "in"):
+            names = wanted if op == "in" else [wanted]
+            endpoints = [e for e in endpoints if e in names]
+        elif column == "page" and op in ("=", ">", ">=", "<", "<="):
+            if op in ("=", ">", ">="):
+                first = max(first, int(wanted) + (op == ">"))
+            if op in ("=", "<", "<="):
+                stop = min(stop, int(wanted) + (op != "<"))
+    if not endpoints:
+        endpoints, stop = [""], first
+    return options | {"endpoints": endpoints, "start_page": first, "max_pages": max(0, stop - first)}
 
 
 def land(pages: DataFrame, path: str | None = None) -> DataFrame:
