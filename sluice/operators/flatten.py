@@ -17,27 +17,28 @@ def leaves(
     keep: Sequence[str] = (),
     depth: int = DEFAULT_DEPTH,
     sep: str = ".",
+    strict: bool = True,
 ) -> DataFrame:
     """`keep`, `path STRING`, `leaf VARIANT`: one row per leaf.
 
     Lists and JSON nulls are leaves; an empty object leaves nothing; a record
     that is no object is one leaf called `_value`. The input is read once: each
     level opens the objects the level before has found and passes on the rest.
-    A record nested deeper than `depth` fails the job rather than losing leaves;
-    `nesting_depth` tells how deep the data is.
+    A record nested deeper than `depth` fails the job rather than losing leaves, or
+    unless `strict` shows the deeper object as a leaf. `nesting_depth` tells how
+    deep the data is.
     """
     level = _roots(df, value, keep)
     for _ in range(depth):
         level = _open(level, keep, sep)
-    open_object = V.is_object(F.col("leaf"))
-    checked = F.when(
-        open_object,
-        F.raise_error(F.lit(f"object nested deeper than {depth} levels; pass a larger depth")),
-    ).otherwise(F.col("leaf"))
+    leaf = F.col("leaf")
+    if strict:
+        too_deep = F.raise_error(F.lit(f"object nested deeper than {depth} levels; pass a larger depth"))
+        leaf = F.when(V.is_object(leaf), too_deep).otherwise(leaf)
     return level.where(V.kind(F.col("leaf")) != "OBJECT<>").select(
         *keep,
         F.when(F.col("path") == "", F.lit(V.ROOT)).otherwise(F.col("path")).alias("path"),
-        checked.alias("leaf"),
+        leaf.alias("leaf"),
     )
 
 

@@ -21,33 +21,51 @@ INFERRED = {
 MAX_COLUMNS = 10_000
 
 
+# Bit of an object whose members were not looked at.
+_DEEPER = 1 << len(INFERRED)
+
+
 def column_types(
     records: DataFrame, value: str = "value", depth: int = DEFAULT_DEPTH
 ) -> DataFrame:
     """`path`, `type`: one row per flattened path over all records.
 
     Equal types stay, long with double gives double, other mixtures give string;
-    nulls count only where nothing else is found. A path is a hot key by nature,
-    but each task passes on one row per path, holding the kinds found as bits.
+    nulls count only where nothing else is found.
     """
-    bit = F.element_at(
-        F.create_map(*[F.lit(x) for n, name in enumerate(INFERRED) for x in (name, 1 << n)]),
-        V.inferred_type(F.col("leaf"), F.col("_kind")),
+    return _widened(_kinds(records, value, depth, strict=True)).select("path", "type")
+
+
+def _kinds(records: DataFrame, value: str, depth: int, strict: bool) -> DataFrame:
+    """The kinds found below each path as bits.
+
+    A path is a hot key by nature, but each task passes on one row per path.
+    """
+    bit_of_type = F.create_map(*[F.lit(x) for n, name in enumerate(INFERRED) for x in (name, 1 << n)])
+    kind = F.col("_kind")
+    bit = (
+        F.when(kind == "VOID", F.lit(0))
+        .when(kind.startswith("OBJECT"), F.lit(_DEEPER))
+        .otherwise(F.element_at(bit_of_type, V.inferred_type(F.col("leaf"), kind)))
     )
     bits = (
-        leaves(records, value, depth=depth)
+        leaves(records, value, depth=depth, strict=strict)
         .withColumn("_kind", V.kind(F.col("leaf")))
-        .select("path", F.when(F.col("_kind") != "VOID", bit).otherwise(F.lit(0)).alias("bit"))
+        .select("path", bit.alias("bit"))
     )
-    found = bits.groupBy("path").agg(F.bit_or("bit").alias("kinds"))
+    return bits.groupBy("path").agg(F.bit_or("bit").alias("kinds"))
+
+
+def _widened(found: DataFrame) -> DataFrame:
     names = list(INFERRED)
     numbers = (1 << names.index("long")) | (1 << names.index("double"))
+    kinds = F.col("kinds")
     widened = F.coalesce(
-        *[F.when(F.col("kinds") == 1 << n, F.lit(name)) for n, name in enumerate(names)],
-        F.when(F.col("kinds") == numbers, F.lit("double")),
+        *[F.when(kinds == 1 << n, F.lit(name)) for n, name in enumerate(names)],
+        F.when(kinds == numbers, F.lit("double")),
         F.lit("string"),
     )
-    return found.select("path", widened.alias("type"))
+    return found.select("path", widened.alias("type"), (kinds >= _DEEPER).alias("deeper"))
 
 
 def first_record(records: DataFrame, order: Sequence[str] = ("endpoint", "page", "pos")) -> DataFrame:
@@ -59,20 +77,24 @@ def infer_schema(
     records: DataFrame,
     value: str = "value",
     infer_types: bool = True,
-    depth: int = DEFAULT_DEPTH,
     max_columns: int = MAX_COLUMNS,
 ) -> T.StructType:
     """Schema with one nullable field per path; all STRING unless `infer_types`.
 
-    More than `max_columns` paths are an error: such objects are maps, and belong
-    in a declared MAP column.
+    One pass over the records, and another with doubled depth as long as some are
+    nested deeper. More than `max_columns` paths are an error: such objects are
+    maps, and belong in a declared MAP column.
     """
-    rows = column_types(records, value, depth).orderBy("path").limit(max_columns + 1).collect()
-    if len(rows) > max_columns:
-        raise ValueError(f"more than {max_columns} flattened paths; declare a schema instead")
-    return T.StructType(
-        [
-            T.StructField(r["path"], INFERRED[r["type"]] if infer_types else T.StringType(), True)
-            for r in rows
-        ]
-    )
+    depth = DEFAULT_DEPTH
+    while True:
+        found = _widened(_kinds(records, value, depth, strict=False))
+        rows = found.orderBy("path").limit(max_columns + 1).collect()
+        if len(rows) > max_columns:
+            raise ValueError(f"more than {max_columns} flattened paths; declare a schema instead")
+        if not any(r["deeper"] for r in rows):
+            break
+        depth *= 2
+    schema = T.StructType()
+    for r in rows:
+        schema.add(r["path"], INFERRED[r["type"]] if infer_types else T.StringType())
+    return schema

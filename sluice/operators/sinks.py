@@ -14,22 +14,31 @@ INCIDENT_TITLE = "API Ingestion Job Failed"
 INCIDENT_COLUMNS = ("endpoint", "page", "status", "short_description", "description")
 
 
-def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_json(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = True
+) -> None:
     """JSON Lines, UTF-8, replacing what `path` held; one folder per partition value.
 
-    With partition columns the rows are first brought together by them. The
-    rebalance hint lets adaptive execution split values that hold most rows.
+    Each task writes a file per partition value it holds. With `gather` the rows
+    are first brought together by value, in a shuffle that adaptive execution
+    balances by splitting large values; rows that come clustered need none.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    writer = _gathered(df, partition_by, gather).write.mode("overwrite")
+    writer = writer.option("ignoreNullFields", "false")
     (writer.partitionBy(*partition_by) if partition_by else writer).json(path)
 
 
-def write_records(records: DataFrame, path: str, value: str = "value") -> None:
-    """VARIANT records as JSON Lines, one folder per endpoint."""
+def write_records(
+    records: DataFrame, path: str, value: str = "value", gather: bool = True
+) -> None:
+    """VARIANT records as JSON Lines, one folder per endpoint; `gather` as above."""
     lines = records.select("endpoint", F.to_json(value).alias("value"))
-    lines.hint("rebalance", "endpoint").write.mode("overwrite").partitionBy("endpoint").text(path)
+    writer = _gathered(lines, ["endpoint"], gather).write.mode("overwrite")
+    writer.partitionBy("endpoint").text(path)
+
+
+def _gathered(df: DataFrame, partition_by: Sequence[str], gather: bool) -> DataFrame:
+    return df.hint("rebalance", *partition_by) if gather and partition_by else df
 
 
 def page_incidents(failed: DataFrame) -> DataFrame:

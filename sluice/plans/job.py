@@ -44,7 +44,9 @@ def run_ingest(
     landed = land(fetch_pages(requests, tasks, **fetch_options), paths["raw_pages"])
     pages = trim_pages(landed)
     page_incidents(failed_pages(pages)).write.mode("overwrite").parquet(paths["incidents"])
-    write_records(unwrap(good_pages(pages), keep=("endpoint", "page")), paths["records"])
+    # Landed pages lie clustered by endpoint, as they were requested.
+    records = unwrap(good_pages(pages), keep=("endpoint", "page"))
+    write_records(records, paths["records"], gather=False)
     failures = spark.read.parquet(paths["incidents"]).count()
     if failures and on_error == "fail":
         raise IngestFailed(f"{failures} pages could not be read, see {paths['incidents']}")

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluice.operators import filters
-from sluice.operators.flatten import nesting_depth
 from sluice.operators.infer import first_record, infer_schema
 from sluice.operators.paging import failed_pages, with_outcome
 from sluice.operators.records import project_values, records_at
@@ -85,7 +84,7 @@ def read_table(
             raise RuntimeError(failed["description"])
         records = records_at(landed, json_path, keep=("endpoint", "page"), scalar_page=scalar_page)
         sample = first_record(records) if from_first_record else records
-        schema = infer_schema(sample, infer_types=infer_types, depth=nesting_depth(sample))
+        schema = infer_schema(sample, infer_types=infer_types)
     else:
         checked = F.coalesce(
             F.when(F.col("error").isNull() & F.col("status").between(200, 299), F.col("body")),

@@ -57,9 +57,10 @@ def fetch_pages(
 ) -> DataFrame:
     """Raw pages of `requests`, fetched by `tasks` tasks.
 
-    Requests are hashed by endpoint and page, so an endpoint with most of the
-    pages is spread over all tasks. Each evaluation asks again: write the result
-    before using it more than once.
+    Requests are ranged by endpoint and page: an endpoint with most of the pages
+    is spread over most tasks, and yet each task's pages belong to few endpoints,
+    so that writing them by endpoint needs no shuffle of the bodies. Each
+    evaluation asks again: write the result before using it more than once.
     """
 
     def fetch(batches: Iterator) -> Iterator:
@@ -84,4 +85,5 @@ def fetch_pages(
             backoff=backoff,
         )
 
-    return requests.repartition(tasks, "endpoint", "page").mapInArrow(fetch, RAW_PAGES)
+    ranged = requests.repartitionByRange(tasks, "endpoint", "page")
+    return ranged.mapInArrow(fetch, RAW_PAGES)
