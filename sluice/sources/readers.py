@@ -73,8 +73,9 @@ def read_table(
     """Typed rows of one endpoint, flattened.
 
     A given schema wins. Otherwise the pages are landed once and the schema is
-    taken from all records, or from the first one as asked; every column is
-    STRING unless `infer_types`. A page that cannot be read fails the query.
+    taken from all records, or from the first one of the first page as asked;
+    every column is STRING unless `infer_types`. A page that cannot be read fails
+    the query.
     """
     pages = read_pages(spark, base_url, endpoint=endpoint, **options)
     if schema is None:
@@ -83,7 +84,10 @@ def read_table(
         if failed:
             raise RuntimeError(failed["description"])
         records = records_at(landed, json_path, keep=("endpoint", "page"), scalar_page=scalar_page)
-        sample = first_record(records) if from_first_record else records
+        sample = records
+        if from_first_record:
+            page = landed.orderBy("page").limit(1)
+            sample = first_record(records_at(page, json_path, keep=("endpoint", "page"), scalar_page=scalar_page))
         schema = infer_schema(sample, infer_types=infer_types)
     else:
         checked = F.coalesce(
