@@ -1,12 +1,11 @@
-"""Session settings, shipping of this package to Python workers, shared folder."""
+"""Session settings, registration of the sources, shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Runtime settings the engine's results depend on.
@@ -16,7 +15,6 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
-_prepared: set[str] = set()
 _local_folders: dict[str, str] = {}
 
 
@@ -25,11 +23,6 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    app = spark.sparkContext.applicationId
-    if app not in _prepared:
-        # Source classes are pickled by reference, so workers must import them.
-        spark.sparkContext.addPyFile(_package_zip())
-        _prepared.add(app)
     _register_sources(spark)
     return spark
 
@@ -50,17 +43,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def _register_sources(spark: SparkSession) -> None:
-    from sluice.sources.pages import RestPages
+    import sluice
+    from sluice.sources.rest_pages import RestPages
     from sluice.sources.rows import FixedPosts, RawRecords
 
+    # Sources travel to the workers as code: files added to the context do not reach
+    # the process that plans a stream.
+    cloudpickle.register_pickle_by_value(sluice)
+    # Spark looks for sources of the same name in the active session.
+    spark._jvm.SparkSession.setActiveSession(spark._jsparkSession)
     for source in (RestPages, RawRecords, FixedPosts):
         spark.dataSource.register(source)
-
-
-def _package_zip() -> str:
-    package = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="sluice-py-")) / "sluice.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for path in sorted(package.rglob("*.py")):
-            archive.write(path, path.relative_to(package.parent))
-    return str(target)
