@@ -50,7 +50,7 @@ class Fetcher:
                     auth=request.auth,
                     timeout=request.timeout,
                 )
-            except requests.ConnectionError as e:
+            except (requests.ConnectionError, requests.Timeout) as e:
                 if last:
                     return None, None, f"{type(e).__name__}: {e}"
             except requests.RequestException as e:

@@ -4,7 +4,7 @@ import json
 
 import pytest
 import requests
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import types as T
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, LessThanOrEqual, StringContains
 
 from sluice.operators import filters
@@ -113,8 +113,12 @@ def test_http_retries_then_reports():
         assert fetcher.page(request, 1)[0] == status and len(adapter.seen) == 1
     fetcher, adapter, request = http([(None, requests.ConnectionError("gone"))] * 3)
     assert fetcher.page(request, 1) == (None, None, "ConnectionError: gone") and len(adapter.seen) == 3
-    fetcher, adapter, request = http([(None, requests.ReadTimeout("slow"))])
-    assert fetcher.page(request, 1) == (None, None, "ReadTimeout: slow")
+    fetcher, adapter, request = http([(None, requests.ReadTimeout("slow"))] * 3)
+    assert fetcher.page(request, 1) == (None, None, "ReadTimeout: slow") and len(adapter.seen) == 3
+    fetcher, adapter, request = http([(None, requests.ReadTimeout("slow")), (200, b"[]")])
+    assert fetcher.page(request, 1) == (200, "[]", None)
+    fetcher, adapter, request = http([(None, requests.TooManyRedirects("loop"))])
+    assert fetcher.page(request, 1) == (None, None, "TooManyRedirects: loop")
     fetcher, _, request = http([(200, b"\xff")])
     assert "UnicodeDecodeError" in fetcher.page(request, 1)[2]
 
