@@ -4,22 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sluice.llm.cotraining import classify
 from sluice.llm.decontaminate import contamination
+from sluice.llm.licences import scan_licences
 from sluice.llm.packing import pack, token_pieces
 from sluice.llm.registry import query, table
 from sluice.llm.repetition import repetition_rules
-from sluice.llm.token_blocks import open_token_blocks, read_documents, write_token_blocks
+from sluice.llm.token_blocks import read_documents, write_token_blocks
 from sluice.llm.tokens import vocabulary_path
+from sluice.llm.url_rules import judge_urls
 from sluice.session import shared_folder
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+# The rules of the URL query.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query("op1_redirect_equivalence")
+def op1(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "rule STRING, action STRING")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 @query("op3_suffix_repetition")
 def op3(spark, sf_dir):
     return repetition_rules(table(spark, sf_dir, "documents"))
 
 
+@query("op4_licence_sentences")
+def op4(spark, sf_dir):
+    found = scan_licences(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+
+
 @query("op5_min_bin_slack")
 def op5(spark, sf_dir):
     return pack(token_pieces(table(spark, sf_dir, "documents"), vocabulary_path(VOCABULARY)))
@@ -29,7 +48,7 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     folder = shared_folder(spark, "token-blocks")
     write_token_blocks(table(spark, sf_dir, "documents"), folder, vocabulary_path(VOCABULARY))
-    return read_documents(open_token_blocks(spark, folder))
+    return read_documents(spark, folder)
 
 
 @query("op8_winnowing")
@@ -38,3 +57,8 @@ def op8(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated"
     )
+
+
+@query("op10_cotraining")
+def op10(spark, sf_dir):
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

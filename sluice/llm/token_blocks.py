@@ -106,18 +106,15 @@ def write_token_blocks(
     )
 
 
-def open_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """The blocks, each with `start`, the number of ids before it in the whole table."""
-    blocks = spark.read.parquet(folder)
+def _bases(blocks: DataFrame) -> DataFrame:
+    """The ids before each part; one row per task that wrote, so that one ordered window does."""
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # One row per task that wrote: few, so that one ordered window does.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return blocks.join(bases, "part").withColumn("start", F.col("base") + F.col("before")).drop("base", "before")
+    return totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
 
 
-def read_documents(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per document of opened blocks: key, start, n_tokens, crc32 of the ids (uint32, little endian)."""
+def read_documents(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
+    """Per document of the blocks: key, start, n_tokens, crc32 of the ids (uint32, little endian)."""
 
     def work(batches):
         for batch in batches:
@@ -127,18 +124,30 @@ def read_documents(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
                 ids = unpack_bits(at.column("packed")[0].as_py(), at.column("width")[0].as_py(), 0, int(edges[-1])).astype("<u4")
                 crc = [zlib.crc32(ids[s:e]) for s, e in zip(edges[:-1].tolist(), edges[1:].tolist())]
                 yield batch_of(
-                    **{key: at.column("keys").flatten()},
-                    start=edges[:-1] + at.column("start")[0].as_py(),
+                    key=at.column("keys").flatten(),
+                    part=pa.array(np.full(len(crc), at.column("part")[0].as_py()), pa.int32()),
+                    inside=edges[:-1] + at.column("before")[0].as_py(),
                     n_tokens=np.diff(edges),
                     ids_crc32=pa.array(crc, pa.int64()),
                 )
 
+    blocks = spark.read.parquet(folder)
     kind = blocks.schema["keys"].dataType.elementType.simpleString()
-    return blocks.select("start", "width", "keys", "edges", "packed").mapInArrow(
-        work, f"`{key}` {kind}, start long, n_tokens long, ids_crc32 long"
+    found = blocks.select("part", "before", "width", "keys", "edges", "packed").mapInArrow(
+        work, f"key {kind}, part int, inside long, n_tokens long, ids_crc32 long"
+    )
+    # Only numbers are joined; the packed bytes stay in the tasks that read them.
+    return found.join(_bases(blocks), "part").select(
+        F.col("key").alias(key), (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
+def open_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The blocks, each with `start`, the number of ids before it in the whole table."""
+    blocks = spark.read.parquet(folder)
+    return blocks.join(_bases(blocks), "part").withColumn("start", F.col("base") + F.col("before")).drop("base", "before")
+
+
 def read_ids(blocks: DataFrame, start: int, stop: int) -> DataFrame:
     """Ids start to stop of the whole table: (start, ids) per touched block. Random access:
     other blocks are filtered out and only the bytes of the range are unpacked."""

@@ -21,7 +21,7 @@ SLOT_BITS = 21
 # Ids kept by a worker; beyond it the table starts anew.
 KEPT_IDS = 12_000_000
 # Texts are encoded in slices of so many bytes.
-ENCODE_SLICE = 2 << 20
+ENCODE_SLICE = 1 << 20
 
 _wide_space = re.compile(r"[^\S \t\n\r\f\v]")
 # Classes of a byte, as bits: blank, ASCII letter, punctuation but for the apostrophe

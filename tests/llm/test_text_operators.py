@@ -110,7 +110,7 @@ def test_token_blocks(spark, rows, plain_ids, tmp_path):
     write_token_blocks(rows(texts).repartition(5), path, vocabulary_path("byte_bpe_50k.json"), block_ids=100)
     blocks = open_token_blocks(spark, path)
     start, every = 0, []
-    for r in sorted(read_documents(blocks).collect()):
+    for r in sorted(read_documents(spark, path).collect()):
         ids = [*plain_ids(texts[r.doc_id]), 0]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), brute.crc(ids))
         start, every = start + len(ids), every + ids
@@ -119,7 +119,7 @@ def test_token_blocks(spark, rows, plain_ids, tmp_path):
         got = sorted(read_ids(blocks, a, b).collect())
         assert [i for r in got for i in r.ids] == every[a:b] and got[0].start == a
     write_token_blocks(rows([]), path, vocabulary_path("byte_bpe_50k.json"))
-    assert read_documents(open_token_blocks(spark, path)).count() == 0
+    assert read_documents(spark, path).count() == 0
 
 
 def check_packing(found, capacity):
