@@ -1,11 +1,20 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences, stage by stage.
+
+Each stage takes what the one before kept and returns the columns of `documents`, but for
+the last, which returns the pieces of the sequences.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sluice.llm.components import landed
+from sluice.llm.cotraining import features_of, keep_good, train
+from sluice.llm.debruijn import dedup_substrings
+from sluice.llm.decontaminate import contamination
+from sluice.llm.minhash import keep_one_of_each
 from sluice.llm.packing import pack, token_pieces
 from sluice.llm.registry import query, table
 from sluice.llm.tokens import vocabulary_path
@@ -14,14 +23,50 @@ from sluice.session import shared_folder
 VOCABULARY = "byte_bpe_50k.json"
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the co-trained quality classifier accepts."""
+    model = train(landed(features_of(docs), "views"), table(spark, sf_dir, "labels"))
+    return keep_good(docs, model)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the least, of each component of near duplicates (5-word shingles, 0.8)."""
+    return keep_one_of_each(docs)
+
+
+def distinct_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the spans of 13 words or more that an earlier one has.
+
+    n_chars follows the text. Documents that lose all their words go; those without words
+    on input stay.
+    """
+    cut = dedup_substrings(docs)
+    kept = cut.where("n_removed = 0 OR n_removed < n_words")
+    size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return kept.withColumn("n_chars", size).select(docs.columns)
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of the benchmark. Rows of one key go together."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    gone = found.where("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences of 2048 tokens."""
     return pack(token_pieces(docs, vocabulary_path(VOCABULARY)))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", packed)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good_documents),
+    ("near_duplicates", distinct_documents),
+    ("substrings", distinct_substrings),
+    ("decontamination", clean_documents),
+    ("packing", packed_sequences),
+]
 
-# Tokens, hashes of models and iterated components are beyond SQL.
+# A trained model, iterated components, token ids and a packing plan are beyond SQL.
 ORACLE_SQL = None
 
 

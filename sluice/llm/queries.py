@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.llm.cotraining import classify
+from sluice.llm.debruijn import dedup_substrings
 from sluice.llm.decontaminate import contamination
 from sluice.llm.licences import scan_licences
+from sluice.llm.minhash import near_duplicates
 from sluice.llm.packing import pack, token_pieces
 from sluice.llm.registry import query, table
 from sluice.llm.repetition import repetition_rules
+from sluice.llm.suffix_dedup import dedup_bytes
 from sluice.llm.token_blocks import read_documents, write_token_blocks
 from sluice.llm.tokens import vocabulary_path
 from sluice.llm.url_rules import judge_urls
@@ -62,3 +65,22 @@ def op8(spark, sf_dir):
 @query("op10_cotraining")
 def op10(spark, sf_dir):
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_debruijn_compaction")
+def op7(spark, sf_dir):
+    found = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # Words as the contract joins them, also in texts that lost none.
+    kept = F.concat_ws(" ", F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+@query("op9_blockwise_suffixes")
+def op9(spark, sf_dir):
+    found = dedup_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_one_permutation")
+def op2(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
