@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from sluice.llm.chunks import (
     ASK, asks, buckets_for, chunked, doc_ids, exchange, in_order, is_in, repeated_keys, repeated_seeds, seed_asks, texts_of, with_replies,
 )
-from sluice.llm.text import Texts, byte_values, covered, grams, rolling, sliding
+from sluice.llm.text import Texts, byte_values, covered, grams, mix, rolling, sliding
 
 SIZE = 100
 GRAM = 32
@@ -116,6 +116,15 @@ def _words_at(lines: np.ndarray, start: int, stop: int) -> np.ndarray:
     return out
 
 
+def _digests(lines: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each line, 8 bytes at a time and without a table as large as the lines."""
+    out = [np.full(len(lines), salt, np.uint64) for salt in (_REACH, 0x9E3779B97F4A7C15)]
+    for c in range(0, lines.shape[1], 8):
+        word = _words_at(lines, c, min(c + 8, lines.shape[1]))
+        out = [mix(h ^ word) + np.uint64(i + 1) for i, h in enumerate(out)]
+    return out
+
+
 def _ranked(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
     order = np.lexsort((tail, head))
     new = np.ones(len(head), np.int64)
@@ -183,7 +192,7 @@ def _judge(size: int, gram: int, at_once: int):
         # Occurrence order; then equal reaches of an anchor side by side, the earliest first.
         order = np.lexsort((places["start"], places["row"], places["part"], chunk, places["doc"]))
         places, lines = places[order], lines[order]
-        names = [rolling(byte_values(lines.ravel()), np.arange(len(lines)) * width, np.arange(1, len(lines) + 1) * width, b) for b in (_REACH, 0x9E3779B97F4A7C15)]
+        names = _digests(lines)
         by = np.lexsort((np.arange(len(lines)), places["right"], places["left"], *names, places["anchor"]))
         near, far = by[:-1], by[1:]
         twin = np.zeros(len(by), bool)
