@@ -8,7 +8,7 @@ of similarity 0.8 share none of the `BANDS` with a probability of 3 in a million
 
 Equal sets are one node from the start. In each bucket, candidate edges form a star
 around its least document; links are confirmed on the full sets. Buckets whose documents
-then lie in one component are done. The others get further stars, around 4, 16, .. of
+then lie in one component are done. The others get further stars, around 16, 256, .. of
 their documents and to other components only, until every document has been a centre:
 as few pairs as the components allow, and no link of a bucket is missed.
 """
@@ -26,7 +26,7 @@ SHINGLE = 5
 PERCENT = 80
 ROWS, BANDS = 6, 42
 BINS = ROWS * BANDS
-GROWTH = 4
+GROWTH = 16
 
 _EMPTY = np.iinfo(np.uint64).max
 
@@ -178,8 +178,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         open_buckets = landed(named.join(split, "band", "left_semi"), "open")
         if open_buckets.isEmpty():
             break
+        # Documents in an order of chance; those that were centres before have met all others.
         chance = F.pmod(F.xxhash64("band", "doc"), F.lit(1 << 30)) * F.col("members")
-        hubs = open_buckets.where((chance < F.lit(centres << 30)) | (F.col("members") <= centres))
+        before = F.lit((centres // GROWTH if centres > GROWTH else 0) << 30)
+        hubs = open_buckets.where((chance >= before) & ((chance < F.lit(centres << 30)) | (F.col("members") <= centres)))
         hubs = hubs.select("band", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))
         pairs = open_buckets.join(hubs, "band").where("component <> hub_component").where(_alike_in_size("n", "hub_n", percent))
         pairs = pairs.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
