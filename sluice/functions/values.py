@@ -11,12 +11,12 @@ STRICT_FALSE_WORDS = ("false", "0", "no", "n", "")
 
 ISO_TIMESTAMP = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.]\d{1,9})?)?)?(Z|[+-]\d{2}:\d{2})?)?$"
+    r"([T ]\d{2}(:\d{2}(:\d{2}([.]\d+)?)?)?(Z|[+-]\d{2}:\d{2})?)?$"
 )
 # Forms with a zone but no minutes, or no seconds, which the cast wants spelled out.
 _HOUR_AND_ZONE = r"^(.{11}\d{2})(Z|[+-]\d{2}:\d{2})$"
 _MINUTE_AND_ZONE = r"^(.{11}\d{2}:\d{2})(Z|[+-]\d{2}:\d{2})$"
-INTEGER = r"^\s*[+-]?\d{1,19}\s*$"
+INTEGER = r"^\s*[+-]?0*\d{1,19}\s*$"
 NUMBER = (
     r"^\s*[+-]?(\d+[.]?\d*|[.]\d+)([eE][+-]?\d+)?\s*$"
     r"|(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
@@ -105,7 +105,9 @@ def iso_timestamp(text: Column) -> Column:
     spelled_out = F.regexp_replace(
         F.regexp_replace(text, _HOUR_AND_ZONE, "$1:00:00$2"), _MINUTE_AND_ZONE, "$1:00$2"
     )
-    return F.when(text.rlike(ISO_TIMESTAMP), spelled_out.try_cast("timestamp"))
+    # Spark keeps microseconds; further digits would make the cast fail.
+    cut = F.regexp_replace(spelled_out, r"([.]\d{6})\d+", "$1")
+    return F.when(text.rlike(ISO_TIMESTAMP), cut.try_cast("timestamp"))
 
 
 def to_long(value: Column) -> Column:

@@ -6,7 +6,7 @@ import functools
 import operator
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
 
@@ -24,8 +24,35 @@ def literal_text(value: object) -> str:
 
 
 def where(df: DataFrame, triples: Iterable[tuple]) -> DataFrame:
-    """Rows for which all triples hold, on (flattened) columns of `df`."""
-    return df.where(_all(triples, lambda name: F.col(f"`{name}`"), lambda c: c.cast("string")))
+    """Rows for which all triples hold, on (flattened) columns of `df`.
+
+    Where column and literal are of a kind, they are compared as such; else as text.
+    """
+    triples = list(triples)
+    kinds = {f.name: f.dataType for f in df.schema}
+    typed = [t for t in triples if _comparable(t, kinds)]
+    others = [t for t in triples if not _comparable(t, kinds)]
+    column = lambda name: F.col(f"`{name}`")
+    conditions = [column(n).isin(list(w)) if op == "in" else column(n) == F.lit(w) for n, op, w in typed]
+    rest = _all(others, column, lambda c: c.cast("string"))
+    return df.where(functools.reduce(operator.and_, conditions, rest))
+
+
+def _comparable(triple: tuple, kinds: dict[str, T.DataType]) -> bool:
+    """Whether `=` or `in` can compare the column itself, which the scan can then prune by:
+    text with text, numbers with numbers, booleans with booleans."""
+    if not isinstance(triple, (tuple, list)) or len(triple) != 3 or triple[1] not in ("=", "in"):
+        return False
+    name, op, wanted = triple
+    values = wanted if op == "in" else [wanted]
+    if not isinstance(values, (list, tuple, set, frozenset)) or not values:
+        return False
+    kind = kinds.get(name)
+    if isinstance(kind, T.BooleanType):
+        return all(isinstance(v, bool) for v in values)
+    if isinstance(kind, T.NumericType):
+        return all(isinstance(v, (int, float)) and not isinstance(v, bool) and abs(v) < 1 << 63 for v in values)
+    return isinstance(kind, T.StringType) and all(isinstance(v, str) for v in values)
 
 
 def where_value(df: DataFrame, triples: Iterable[tuple], value: str = "value") -> DataFrame:

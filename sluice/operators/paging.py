@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.operators.records import with_items
 
-# Endpoints whose end may be broadcast: two narrow columns, some 100 bytes a row.
-BROADCAST_ENDPOINTS = 100_000
-
 
 def succeeded() -> Column:
     return F.coalesce(F.col("status").between(200, 299), F.lit(False))
@@ -62,16 +59,14 @@ def endpoint_stops(pages: DataFrame) -> DataFrame:
     return pages.where(stops).groupBy("endpoint").agg(F.min("page").alias("stop_page"))
 
 
-def trim_pages(pages: DataFrame, broadcast_limit: int = BROADCAST_ENDPOINTS) -> DataFrame:
+def trim_pages(pages: DataFrame) -> DataFrame:
     """Pages before their endpoint's first empty or missing page.
 
     Reads `pages` twice, the first time only its narrow columns, so it wants a
-    written table. The list of stops is counted before it is broadcast; a longer
-    list is joined on the endpoint, where adaptive execution splits hot keys.
+    written table. Adaptive execution broadcasts the stops where their size allows it
+    and otherwise splits endpoints with most of the pages.
     """
     stops = endpoint_stops(pages)
-    if stops.limit(broadcast_limit + 1).count() <= broadcast_limit:
-        stops = F.broadcast(stops)
     return (
         pages.join(stops, "endpoint", "left")
         .where(F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page")))

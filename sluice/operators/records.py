@@ -65,14 +65,40 @@ def _items(text: Column, value: Column, first: Column, decoded: Column) -> Colum
     )
 
 
+def checked(pages: DataFrame, body: str = "body") -> DataFrame:
+    """The pages, failing on one that was not read: another status than 2xx, an error, or no
+    body. Tables without the columns `status` and `error` of raw pages hold bodies only.
+
+    All readers of records go through this. Callers that want incidents instead of a
+    failure split the pages first (`operators.paging`).
+    """
+    if not {"status", "error"} <= set(pages.columns):
+        return pages
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in ("endpoint", "page") if c in pages.columns]
+    cause = F.coalesce("error", F.when(~F.col("status").between(200, 299), F.concat(F.lit("HTTP "), F.col("status").cast("string"))), F.lit("empty response"))
+    read = F.col("error").isNull() & F.coalesce(F.col("status").between(200, 299), F.lit(False)) & F.col(body).isNotNull()
+    failure = F.raise_error(F.concat(F.concat_ws(" page ", *place), F.lit(": "), cause))
+    return pages.withColumn(body, F.when(read, F.col(body)).otherwise(failure))
+
+
+def _readable(value: Column, body: Column, problem: Column | str = INVALID_JSON) -> Column:
+    """The value, or a failure where there is a body but no value."""
+    problem = F.lit(problem) if isinstance(problem, str) else problem
+    invalid = F.raise_error(F.concat(problem, F.lit(": "), F.left(body, F.lit(100))))
+    return F.coalesce(value, F.when(body.isNotNull() & problem.isNotNull(), invalid))
+
+
 def unwrap(pages: DataFrame, body: str = "body", keep: Sequence[str] | None = None) -> DataFrame:
     """Envelope unwrap: `keep` columns, `pos INT`, `value VARIANT`.
 
     A list gives its elements; an object gives the first of its members
     results/data/items/records that is a list, else itself; JSON null gives
-    nothing; other scalars give one `raw_response` record.
+    nothing; other scalars give one `raw_response` record. A page that was not read, or
+    whose body is not JSON, fails the query.
     """
-    return _one_row_each(with_items(pages, body), _kept(pages, body, keep), F.col("items"))
+    kept = _kept(pages, body, keep)
+    items = with_items(checked(pages, body), body)
+    return _one_row_each(items, kept, _readable(F.col("items"), F.col(body), F.col("problem")))
 
 
 def records_at(
@@ -85,15 +111,14 @@ def records_at(
     """Records below `json_path`: a list gives its elements, an object one record.
 
     Pages holding a scalar there are skipped, or are one record each with
-    `scalar_page="record"`. Pages without a value there give nothing. A body that
-    is not JSON fails the query.
+    `scalar_page="record"`. Pages without a value there give nothing. A page that was not
+    read, or whose body is not JSON, fails the query.
     """
     if scalar_page not in ("skip", "record"):
         raise ValueError(f"scalar_page must be skip or record, not {scalar_page!r}")
     keep = _kept(pages, body, keep)
-    invalid = F.raise_error(F.concat(F.lit(f"{INVALID_JSON}: "), F.left(F.col(body), F.lit(100))))
-    parsed = pages.select(*keep, body, listed(F.col(body)).alias("_listed")).select(
-        *keep, F.coalesce(sole(F.col("_listed")), F.when(F.col(body).isNotNull(), invalid)).alias("_page")
+    parsed = checked(pages, body).select(*keep, body, listed(F.col(body)).alias("_listed")).select(
+        *keep, _readable(sole(F.col("_listed")), F.col(body)).alias("_page")
     )
     found = parsed.select(*keep, V.at_path(F.col("_page"), json_path).alias("_found"))
     value = F.col("_found")
@@ -124,13 +149,12 @@ def raw_records(pages: DataFrame, name: str, body: str = "body") -> DataFrame:
     """JSON text of every record in one STRING column called `name`.
 
     A list gives its elements, anything else is one record. Floats stay floats
-    (`1.0`). Bodies that are not JSON give nothing here; `with_outcome` reports
-    them.
+    (`1.0`). A page that was not read, or whose body is not JSON, fails the query.
     """
     text, texts, parsed = F.col(body), F.col("_texts"), F.col("_parsed")
     # Projections in sequence, so that each text is parsed once.
-    staged = pages.select(body, elements_as_text(text).alias("_texts"), listed(text).alias("_listed")).select(
-        body, "_texts", sole(F.col("_listed")).alias("_parsed")
+    staged = checked(pages, body).select(body, elements_as_text(text).alias("_texts"), listed(text).alias("_listed")).select(
+        body, "_texts", _readable(sole(F.col("_listed")), F.col(body)).alias("_parsed")
     )
     kinds = F.coalesce(parsed.try_cast("array<variant>"), F.array(parsed))
     found = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sluice.functions import values as V
 
@@ -28,15 +28,29 @@ def write_json(
     (writer.partitionBy(*partition_by) if partition_by else writer).json(path)
 
 
+# Begins the folder name of an endpoint, so that no name is empty or reads as a number.
+_NAMED = "@"
+
+
 def write_records(
     records: DataFrame, path: str, value: str = "value", gather: bool = True
 ) -> None:
-    """VARIANT records as JSON Lines, one folder per endpoint; `gather` as above."""
-    lines = records.select("endpoint", F.to_json(value).alias("value"))
+    """VARIANT records as JSON Lines, one folder per endpoint; `gather` as above.
+
+    `read_records` gives the endpoints their exact names back.
+    """
+    named = F.concat(F.lit(_NAMED), "endpoint")
+    lines = records.select(named.alias("endpoint"), F.to_json(value).alias("value"))
     writer = _gathered(lines, ["endpoint"], gather).write.mode("overwrite")
     writer.partitionBy("endpoint").text(path)
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """`endpoint STRING`, `record STRING` of what `write_records` wrote."""
+    lines = spark.read.schema("value STRING, endpoint STRING").text(path)
+    return lines.select(F.substring("endpoint", len(_NAMED) + 1, 1 << 30).alias("endpoint"), F.col("value").alias("record"))
+
+
 def _gathered(df: DataFrame, partition_by: Sequence[str], gather: bool) -> DataFrame:
     return df.hint("rebalance", *partition_by) if gather and partition_by else df
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.operators.paging import failed_pages, good_pages, trim_pages
 from sluice.operators.records import unwrap
@@ -17,6 +17,23 @@ class IngestFailed(RuntimeError):
     """Pages could not be read; the incident rows tell which."""
 
 
+def _check(catalogue: DataFrame) -> None:
+    """Refuses catalogues that would fetch the wrong pages or mix them up.
+
+    Pages are told apart by endpoint name, so a name may stand for one address only.
+    """
+    dates = [F.coalesce(F.trim(c), F.lit("")) == "" for c in ("start_date", "end_date")]
+    undated = catalogue.where(F.coalesce("history_enabled", F.lit(False)) & (dates[0] | dates[1])).first()
+    if undated:
+        raise ValueError(f"history load of {undated['endpoint']!r} needs a start and an end date")
+    unnamed = catalogue.where(F.col("endpoint").isNull()).first()
+    if unnamed:
+        raise ValueError(f"an endpoint of {unnamed['base_url']!r} has no endpoint-name")
+    twice = catalogue.groupBy("endpoint").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"{twice['count']} configurations name the endpoint {twice['endpoint']!r}; ingest them in jobs of their own")
+
+
 def run_ingest(
     spark: SparkSession,
     catalogue: DataFrame | str,
@@ -31,6 +48,7 @@ def run_ingest(
 
     Writes below `out`: `raw_pages` (parquet), `records` (JSON Lines by endpoint)
     and `incidents` (parquet). Pages after an endpoint's end are not counted.
+    History windows and endpoint names are checked before anything is fetched.
     With `on_error="fail"` the job raises after writing when there are incidents.
     """
     if on_error not in ("fail", "quarantine"):
@@ -39,6 +57,7 @@ def run_ingest(
     if isinstance(catalogue, str):
         catalogue = read_catalogue(spark, catalogue)
     paths = {name: f"{out}/{name}" for name in ("raw_pages", "records", "incidents")}
+    _check(catalogue)
     requests = plan_requests(catalogue, start_page, max_pages)
     tasks = tasks or spark.sparkContext.defaultParallelism * 4
     landed = land(fetch_pages(requests, tasks, **fetch_options), paths["raw_pages"])

@@ -13,7 +13,7 @@ from sluice.operators.paging import (
     plan_partitions,
     trim_pages,
 )
-from sluice.operators.sinks import page_incidents, write_json, write_records
+from sluice.operators.sinks import page_incidents, read_records, write_json, write_records
 from sluice.plans.catalogue import catalogue_rows, history_violations, in_history_window
 from sluice.plans.job import run_ingest
 from sluice.queries.registry import query
@@ -246,7 +246,7 @@ def ingest_job(spark, sf_dir):
     }
     documents = spark.createDataFrame([(json.dumps(document),)], "value STRING")
     paths = run_ingest(spark, catalogue_rows(documents, "value"), new_base(spark, "out"), max_pages=pages)
-    return spark.read.text(paths["records"]).select("endpoint", F.col("value").alias("record"))
+    return read_records(spark, paths["records"])
 
 
 def _configurations(spark, sf_dir) -> DataFrame:
@@ -357,7 +357,7 @@ def endpoint_sink(spark, sf_dir):
         F.col("o_orderstatus").alias("endpoint"), as_json("o_custkey", "o_orderkey").alias("body")
     )
     write_records(R.decode(records, "body"), path)
-    return spark.read.text(path).select("endpoint", F.col("value").alias("record"))
+    return read_records(spark, path)
 
 
 @query("stream_pages", f"SELECT {ORDER_COLUMNS} FROM orders")

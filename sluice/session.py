@@ -38,7 +38,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folders.setdefault(app, tempfile.mkdtemp(prefix="sluice-"))
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="sluice-")
+        base = _local_folders[app]
     return f"{base.rstrip('/')}/sluice/{app}/{name}-{uuid.uuid4().hex}"
 
 

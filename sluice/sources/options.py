@@ -66,7 +66,7 @@ class PageOptions:
             max_pages=int(text("max_pages", "1")),
             concurrency=int(text("concurrency", "4")),
             rate=float(text("rate_per_sec") or text("rate") or 0),
-            rate_capacity=float(text("rate_capacity", "1")),
+            rate_capacity=float(text("rate_capacity") or text("rate_per_sec") or text("rate") or 0) or 1.0,
             max_pages_per_trigger=int(text("max_pages_per_trigger", "0")),
             filter_pushdown=text("filter_pushdown", "false").lower() == "true",
             request=parse_request(base_url, options),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
+from numbers import Real
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -37,11 +39,11 @@ def _narrowed(options: dict, where: Sequence[tuple]) -> dict:
         if column == "endpoint" and op in ("=", "in"):
             names = wanted if op == "in" else [wanted]
             endpoints = [e for e in endpoints if e in names]
-        elif column == "page" and op in ("=", ">", ">=", "<", "<="):
+        elif column == "page" and op in ("=", ">", ">=", "<", "<=") and isinstance(wanted, Real) and math.isfinite(wanted):
             if op in ("=", ">", ">="):
-                first = max(first, int(wanted) + (op == ">"))
+                first = max(first, math.floor(wanted) + 1 if op == ">" else math.ceil(wanted))
             if op in ("=", "<", "<="):
-                stop = min(stop, int(wanted) + (op != "<"))
+                stop = min(stop, math.ceil(wanted) if op == "<" else math.floor(wanted) + 1)
     if not endpoints:
         endpoints, stop = [""], first
     return options | {"endpoints": endpoints, "start_page": first, "max_pages": max(0, stop - first)}
@@ -90,10 +92,5 @@ def read_table(
             sample = first_record(records_at(page, json_path, keep=("endpoint", "page"), scalar_page=scalar_page))
         schema = infer_schema(sample, infer_types=infer_types)
     else:
-        checked = F.coalesce(
-            F.when(F.col("error").isNull() & F.col("status").between(200, 299), F.col("body")),
-            F.raise_error(F.concat("endpoint", F.lit(" page "), "page", F.lit(": "), F.coalesce("error", F.concat(F.lit("HTTP "), "status")))),
-        )
-        pages = pages.withColumn("body", checked)
         records = records_at(pages, json_path, keep=("endpoint", "page"), scalar_page=scalar_page)
     return project_values(records, schema)

@@ -53,7 +53,7 @@ def fetch_pages(
     retries: int = RETRIES,
     backoff: float = BACKOFF_SECONDS,
     rate_per_sec: float = 0.0,
-    rate_capacity: float = 1.0,
+    rate_capacity: float | None = None,
 ) -> DataFrame:
     """Raw pages of `requests`, fetched by `tasks` tasks.
 
@@ -64,7 +64,7 @@ def fetch_pages(
     """
 
     def fetch(batches: Iterator) -> Iterator:
-        fetcher = Fetcher(rate_per_sec, rate_capacity, TaskContext.get().partitionId(), tasks)
+        fetcher = Fetcher(rate_per_sec, rate_capacity or rate_per_sec or 1.0, TaskContext.get().partitionId(), tasks)
         return in_batches(
             (row["endpoint"], row["page"], *fetcher.page(_request(row), row["page"]))
             for batch in batches
@@ -74,12 +74,14 @@ def fetch_pages(
     def _request(row: dict) -> Request:
         variable = row["auth_password_env"]
         user = row["auth_username"]
+        if user and variable and variable not in os.environ:
+            raise ValueError(f"environment variable {variable} is not set")
         return Request(
             url=row["url"],
             page_param=page_param,
             params=dict(row["params"] or {}),
             headers=dict(row["headers"] or {}),
-            auth=(user, os.environ.get(variable, "") if variable else "") if user else None,
+            auth=(user, os.environ[variable] if variable else "") if user else None,
             timeout=timeout,
             retries=retries,
             backoff=backoff,

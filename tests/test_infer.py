@@ -51,13 +51,13 @@ def test_schema_document(tmp_path):
     path.write_text(json.dumps(DOCUMENT))
     expected = (
         T.StructType()
-        .add("id", T.LongType(), False)
-        .add("name", T.StringType())
-        .add("price", T.DecimalType(10, 2))
-        .add("created_at", T.TimestampType())
-        .add("tags", T.ArrayType(T.StringType(), False))
-        .add("properties", T.MapType(T.StringType(), T.StringType()))
-        .add("address", T.StructType().add("city", T.StringType()).add("zip", T.StringType()))
+        .add("order_no", T.LongType(), False)
+        .add("priority", T.StringType())
+        .add("amount", T.DecimalType(12, 2))
+        .add("placed", T.TimestampType())
+        .add("codes", T.ArrayType(T.StringType(), False))
+        .add("facts", T.MapType(T.StringType(), T.StringType()))
+        .add("buyer", T.StructType().add("number", T.StringType()).add("copies", T.StringType()))
     )
     assert schema_from(DOCUMENT) == schema_from(json.dumps(DOCUMENT)) == schema_from_file(str(path)) == expected
 
@@ -87,14 +87,14 @@ def test_every_declared_type_applies(spark):
 
 
 def test_bad_fields_keep_their_row(spark):
-    text = '{"id":"x","name":"n","price":12.345,"created_at":"no","tags":["a"],"address":{"zip":7}}'
+    text = '{"order_no":"x","priority":"n","amount":12.345,"placed":"no","codes":["a"],"buyer":{"copies":7}}'
     pages = spark.createDataFrame([("e", 1, text)], "endpoint STRING, page INT, r STRING")
     rows = project(pages, schema_from(DOCUMENT), "r", keep=("endpoint", "page"))
     row = rows.first()
-    assert (row["id"], row["name"], row["price"], row["created_at"]) == (None, "n", decimal.Decimal("12.35"), None)
-    assert (row["tags"], row["address"]["zip"], row["properties"]) == (["a"], "7", None)
+    assert (row["order_no"], row["priority"], row["amount"], row["placed"]) == (None, "n", decimal.Decimal("12.35"), None)
+    assert (row["codes"], row["buyer"]["copies"], row["facts"]) == (["a"], "7", None)
     incident = null_incidents(rows, schema_from(DOCUMENT)).collect()
-    assert [r["description"] for r in incident] == ["e page 1: id is null"]
+    assert [r["description"] for r in incident] == ["e page 1: order_no is null"]
 
 
 def test_lost_values_are_incidents(values):

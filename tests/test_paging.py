@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.paging import failed_pages, good_pages, plan_partitions, trim_pages
-from sluice.operators.sinks import page_incidents, write_json
+from sluice.operators.records import decode
+from sluice.operators.sinks import page_incidents, read_records, write_json, write_records
 from sluice.plans.catalogue import catalogue_rows, history_violations, in_history_window, read_catalogue
 from sluice.plans.job import IngestFailed, run_ingest
 from sluice.sources.requests_table import plan_requests
@@ -31,9 +32,8 @@ def pages(spark):
     return land(spark.createDataFrame(PAGES, "endpoint STRING, page INT, status INT, body STRING, error STRING"))
 
 
-@pytest.mark.parametrize("broadcast_limit", [100, 0])
-def test_trimming(pages, broadcast_limit):
-    trimmed = trim_pages(pages, broadcast_limit)
+def test_trimming(pages):
+    trimmed = trim_pages(pages)
     kept = sorted((r["endpoint"], r["page"]) for r in trimmed.collect())
     assert kept == [("bad", n) for n in range(1, 6)] + [("empty", 1), ("empty", 2), ("gone", 1)]
     good = sorted((r["endpoint"], r["page"]) for r in good_pages(trimmed).collect())
@@ -53,8 +53,7 @@ def test_one_endpoint_with_most_pages(spark):
         if status == 404:
             stops[endpoint] = min(page, stops.get(endpoint, page))
     expected = sorted((e, p) for e, p, _, _, _ in rows if p < stops.get(e, 10**9))
-    for limit in (100, 0):
-        assert sorted((r["endpoint"], r["page"]) for r in trim_pages(landed, limit).collect()) == expected
+    assert sorted((r["endpoint"], r["page"]) for r in trim_pages(landed).collect()) == expected
 
 
 def test_partition_plan_is_the_planners(spark):
@@ -69,29 +68,29 @@ def test_partition_plan_is_the_planners(spark):
         plan_partitions(endpoints, "n", 0)
 
 
-def config(base_url="https://api.test/posts", history=None, endpoints=None):
+def config(base_url="https://shop.test/v2", history=None, endpoints=None):
     return {"ingest-souce-config": {
         "app-name": "app", "base-url": base_url,
-        "history-load": history or {"enabled": True, "start_date": "2020-01-01", "end_date": "2020-12-31"},
+        "history-load": history or {"enabled": True, "start_date": "2019-04-01", "end_date": "2019-06-30"},
         "endpoints": endpoints or [
-            {"endpoint-name": "", "params": {}, "headers": {"Accept": "application/json"},
+            {"endpoint-name": "", "params": {}, "headers": {"X-Shop": "north"},
              "auth": {"username": "", "password": "clear text"}},
-            {"endpoint-name": "location", "params": {"start": "x", "q": 1}, "headers": {}}]}}
+            {"endpoint-name": "stock", "params": {"start": "x", "q": 1}, "headers": {}}]}}
 
 
 def test_catalogue_and_requests(spark, tmp_path):
     (tmp_path / "config.json").write_text(json.dumps(config(), indent=2))
     rows = read_catalogue(spark, str(tmp_path / "config.json")).orderBy("endpoint").collect()
     assert [(r["app_name"], r["endpoint"], r["headers"], r["history_enabled"], r["start_date"], r["end_date"]) for r in rows] == [
-        ("app", "", {"Accept": "application/json"}, True, "2020-01-01", "2020-12-31"),
-        ("app", "location", {}, True, "2020-01-01", "2020-12-31")]
+        ("app", "", {"X-Shop": "north"}, True, "2019-04-01", "2019-06-30"),
+        ("app", "stock", {}, True, "2019-04-01", "2019-06-30")]
     assert "clear text" not in str(rows)
     requests = plan_requests(read_catalogue(spark, str(tmp_path)), 1, 2).orderBy("url", "page").collect()
-    window = {"start": "2020-01-01", "end": "2020-12-31"}
+    window = {"start": "2019-04-01", "end": "2019-06-30"}
     assert [(r["url"], r["page"], r["params"]) for r in requests] == [
-        ("https://api.test/posts", 1, window), ("https://api.test/posts", 2, window),
-        ("https://api.test/posts/location", 1, {"q": "1", **window}),
-        ("https://api.test/posts/location", 2, {"q": "1", **window})]
+        ("https://shop.test/v2", 1, window), ("https://shop.test/v2", 2, window),
+        ("https://shop.test/v2/stock", 1, {"q": "1", **window}),
+        ("https://shop.test/v2/stock", 2, {"q": "1", **window})]
     assert plan_requests(read_catalogue(spark, str(tmp_path)), 1, 0).count() == 0
     (tmp_path / "old.json").write_text('{"url": {"endpoints": []}}')
     with pytest.raises(Exception, match="ingest-souce-config"):
@@ -127,8 +126,8 @@ def test_job(spark, page_files, tmp_path):
     document = config(base, {"enabled": False}, [{"endpoint-name": "people"}, {"endpoint-name": ""}])
     (tmp_path / "c.json").write_text(json.dumps(document))
     paths = run_ingest(spark, str(tmp_path / "c.json"), str(tmp_path / "out"), max_pages=5, tasks=3)
-    records = spark.read.text(paths["records"]).collect()
-    assert sorted((r["endpoint"] or "", r["value"]) for r in records) == [
+    records = read_records(spark, paths["records"]).collect()
+    assert sorted((r["endpoint"], r["record"]) for r in records) == [
         ("", '{"name":"é"}'), ("people", '{"id":1}'), ("people", '{"id":2}'), ("people", '{"id":3}')]
     assert spark.read.parquet(paths["incidents"]).count() == 0
 
@@ -179,3 +178,19 @@ def test_json_sink(spark, tmp_path):
     assert sorted((r["endpoint"], r["s"], r["n"]) for r in rows) == [("a/b", "é", None), ("c", "x", 1)]
     text = {r["value"] for r in spark.read.text(path).collect()}
     assert text == {'{"s":"é","n":null}', '{"s":"x","n":1}'}
+
+
+def test_endpoint_names_survive_the_sink(spark, tmp_path):
+    names = ["", "007", "2020", "1e3", "a/b c=d", "null", "__HIVE_DEFAULT_PARTITION__"]
+    rows = spark.createDataFrame([(n, '{"a":1}') for n in names], "endpoint STRING, body STRING")
+    write_records(decode(rows, "body"), str(tmp_path / "r"))
+    assert sorted(r["endpoint"] for r in read_records(spark, str(tmp_path / "r")).collect()) == sorted(names)
+
+
+def test_job_refuses_what_would_mix_up_pages(spark, tmp_path):
+    two = [(json.dumps(config(f"/api/{n}", {"enabled": False}, [{"endpoint-name": "items"}])),) for n in "ab"]
+    window = [(json.dumps(config("/api", {"enabled": True, "start_date": "2020-01-01"})),)]
+    for documents, message in ((two, "name the endpoint 'items'"), (window, "needs a start and an end date")):
+        catalogue = catalogue_rows(spark.createDataFrame(documents, "t STRING"), "t")
+        with pytest.raises(ValueError, match=message):
+            run_ingest(spark, catalogue, str(tmp_path / "out"))

@@ -7,14 +7,14 @@ import requests
 from pyspark.sql import types as T
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, LessThanOrEqual, StringContains
 
-from sluice.operators import filters
+from sluice.operators import filters, records as R
 from sluice.sources.fetch import Fetcher, page_location
 from sluice.sources.options import PageOptions, Request, join_url, parse_request
 from sluice.sources.pages import PruningPageReader, in_batches, read_range
 from sluice.sources.planner import page_ranges
 from sluice.sources.readers import land, read_pages, read_table
 
-ITEMS = [{"data": [{"id": 1, "name": "alice"}]}, {"data": [{"id": 2, "name": "bob"}, {"id": 3}]}]
+ITEMS = [{"data": [{"sku": 11, "label": "lamp"}]}, {"data": [{"sku": 12, "label": "chair"}, {"sku": 13}]}]
 
 
 def test_every_page_is_planned_once():
@@ -209,19 +209,19 @@ def test_read_table_infers(spark, page_files):
     base = page_files("items", ITEMS)
     options = {"endpoint": "items", "json_path": "data", "max_pages": 2}
     typed = read_table(spark, base, infer_types=True, **options)
-    assert typed.schema.simpleString() == "struct<id:bigint,name:string>"
-    assert sorted(typed.collect(), key=lambda r: r["id"]) == [(1, "alice"), (2, "bob"), (3, None)]
-    assert read_table(spark, base, **options).schema.simpleString() == "struct<id:string,name:string>"
+    assert typed.schema.simpleString() == "struct<label:string,sku:bigint>"
+    assert sorted(typed.collect(), key=lambda r: r["sku"]) == [("lamp", 11), ("chair", 12), (None, 13)]
+    assert read_table(spark, base, **options).schema.simpleString() == "struct<label:string,sku:string>"
     first = read_table(spark, page_files("more", [[{"a": 1}], [{"b": 1}]]), "more", from_first_record=True, max_pages=2)
     assert first.columns == ["a"] and first.count() == 2
 
 
 def test_read_table_with_schema(spark, page_files):
     base = page_files("items", ITEMS)
-    schema = T.StructType().add("name", T.StringType()).add("id", T.StringType()).add("none", T.LongType())
+    schema = T.StructType().add("label", T.StringType()).add("sku", T.StringType()).add("none", T.LongType())
     df = read_table(spark, base, "items", schema=schema, json_path="data", max_pages=2)
-    assert sorted(tuple(r) for r in df.select("id", "name", "none").collect()) == [
-        ("1", "alice", None), ("2", "bob", None), ("3", None, None)]
+    assert sorted(tuple(r) for r in df.select("sku", "label", "none").collect()) == [
+        ("11", "lamp", None), ("12", "chair", None), ("13", None, None)]
     for infer in ({"schema": schema}, {}):
         with pytest.raises(Exception, match="items page 3: HTTP 404"):
             read_table(spark, base, "items", json_path="data", max_pages=3, **infer).collect()
@@ -265,3 +265,32 @@ def test_landing_asks_once(spark, page_files):
         (1, 200, 1, None), (2, 200, 2, None), (3, 200, None, "invalid JSON"), (4, 200, None, "invalid JSON"),
         (5, 404, None, None)]
     assert "parquet" in landed._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_failed_pages_are_never_records(spark):
+    columns = "endpoint STRING, page INT, status INT, body STRING, error STRING"
+    good = ("e", 1, 200, '{"data":[{"a":1}]}', None)
+    bad = [("e", 2, 500, '{"message":"boom"}', None), ("e", 2, None, None, "ReadTimeout"), ("e", 2, 200, None, None),
+           ("e", 2, 200, "<html>", None)]
+    for row in bad:
+        pages = spark.createDataFrame([good, row], columns)
+        for read in (R.unwrap, lambda p: R.records_at(p, "data"), lambda p: R.raw_records(p, "r")):
+            with pytest.raises(Exception, match="e page 2|invalid JSON"):
+                read(pages).collect()
+    assert R.unwrap(spark.createDataFrame([good], columns)).count() == 1
+
+
+def test_fractional_page_bounds(spark, page_files):
+    base = page_files("items", [[n] for n in range(1, 5)])
+    for op, wanted, found in (("<", 2.5, [1, 2]), ("<=", 2.5, [1, 2]), (">", 2.5, [3, 4]), (">=", 2.5, [3, 4]), ("=", 2.5, []), ("=", None, [])):
+        df = read_pages(spark, base, where=[("page", op, wanted)], endpoint="items", max_pages=4)
+        assert sorted(r["page"] for r in df.collect()) == found
+
+
+def test_typed_filters_reach_the_scan(spark, tmp_path):
+    spark.sql("SELECT CAST(id AS DOUBLE) AS x, id AS n, CAST(id AS STRING) AS s FROM range(200)").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for triple in (("x", "=", 100), ("n", "in", [100, 100.0]), ("s", "=", "100"), ("n", "=", "100")):
+        assert [r["n"] for r in filters.where(df, [triple]).collect()] == [100]
+    plan = filters.where(df, [("n", "in", [7, 77])])._jdf.queryExecution().toString()
+    assert "In(n, [7,77])" in plan
