@@ -8,9 +8,12 @@ of similarity 0.8 share none of the `BANDS` with a probability of 3 in a million
 
 Equal sets are one node from the start. In each bucket, candidate edges form a star
 around its least document; links are confirmed on the full sets. Buckets whose documents
-then lie in one component are done. The others get further stars, around 16, 256, .. of
-their documents and to other components only, until every document has been a centre:
-as few pairs as the components allow, and no link of a bucket is missed.
+then lie in one component are done. The others get stars around a few more documents, and
+in the end around each that is outside the bucket's largest component, which meets all
+pairs across components. Of these stars only edges pass whose sketches allow a link: a
+set's sketch holds the parity of its shingles in each of `SKETCH` classes, and two sets
+differ in at least as many shingles as their sketches in bits. So no link of a bucket is
+missed, and pairs too far apart are left out before they are made.
 """
 
 from __future__ import annotations
@@ -26,7 +29,9 @@ SHINGLE = 5
 PERCENT = 80
 ROWS, BANDS = 6, 42
 BINS = ROWS * BANDS
-GROWTH = 16
+SKETCH = 256
+SECOND_STARS = 4
+SKETCHES = [f"sketch_{i}" for i in range(SKETCH // 64)]
 
 _EMPTY = np.iinfo(np.uint64).max
 
@@ -66,6 +71,13 @@ def signatures(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
+def sketches(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """Parity of each row's shingles by class of their hash, as bits of 64-bit words."""
+    kind = (mix(value ^ np.uint64(0x9FB21C651E98DF25)) % np.uint64(SKETCH)).astype(np.int64)
+    odd = (np.bincount(row * SKETCH + kind, minlength=rows * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(rows, SKETCH), axis=1).view(np.int64)
+
+
 def _signed(size: int, fold: bool):
     def work(part, texts: Texts):
         n = len(texts)
@@ -80,11 +92,13 @@ def _signed(size: int, fold: bool):
             total = np.append(np.uint64(0), np.cumsum(mix(value ^ np.uint64(salt))))
             ends = np.cumsum(counts)
             digests.append((total[ends] - total[ends - counts]).view(np.int64))
+        bits = sketches(row, value, n)
         kept = np.where(counts > 0, BANDS, 0)
         edges = np.append(0, np.cumsum(kept))
         return batch_of(
             doc=part.column(0), n=counts, high=digests[0], low=digests[1],
             bands=pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(keys[counts > 0].ravel().view(np.int64))),
+            **{name: np.ascontiguousarray(bits[:, i]) for i, name in enumerate(SKETCHES)},
         )
 
     return by_slice("text", work)
@@ -137,6 +151,12 @@ def _alike_in_size(a: str, b: str, percent: int):
     return (F.col(a) * percent <= F.col(b) * 100) & (F.col(b) * percent <= F.col(a) * 100)
 
 
+def _may_link(percent: int):
+    """Sets whose sketches differ in so many bits that they cannot be linked are told apart."""
+    differ = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"hub_{s}"))) for s in SKETCHES[1:]), F.bit_count(F.col(SKETCHES[0]).bitwiseXOR(F.col(f"hub_{SKETCHES[0]}"))))
+    return differ * (100 + percent) <= (F.col("n") + F.col("hub_n")) * (100 - percent)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, fold: bool = True) -> DataFrame:
     """Key, n_shingles, component_id and kept (key = component_id), a row per row of `docs`.
 
@@ -148,9 +168,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    signed = landed(texts.mapInArrow(_signed(shingle, fold), f"doc {kind}, n long, high long, low long, bands array<long>"), "signatures")
+    signed = landed(texts.mapInArrow(_signed(shingle, fold), f"doc {kind}, n long, high long, low long, bands array<long>, {', '.join(f'{s} long' for s in SKETCHES)}"), "signatures")
     same = ["n", "high", "low"]
-    sets = landed(signed.where("n > 0 AND doc IS NOT NULL").groupBy(*same).agg(F.min("doc").alias("rep"), F.first("bands").alias("bands")), "sets")
+    sets = landed(signed.where("n > 0 AND doc IS NOT NULL").groupBy(*same).agg(F.min("doc").alias("rep"), *(F.first(c).alias(c) for c in ["bands", *SKETCHES])), "sets")
     # Equal keys with several texts, and equal texts, are linked without a look.
     given = signed.where("n > 0 AND doc IS NOT NULL").join(sets.select(*same, "rep"), same).where("doc <> rep").select("doc", "rep")
 
@@ -168,30 +188,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     tested = landed(near.select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = landed(confirmed(tested), "links")
     found = landed(components(given.union(links)), "components")
-    open_buckets, centres = buckets.where("members > 2").select("band", "doc", "n", "members"), 1
-    while True:
-        centres *= GROWTH
+    marks = sets.select(F.col("rep").alias("doc"), "n", *SKETCHES)
+    of_hub = [F.col(c).alias(f"hub_{c}") for c in ("band", "doc", "n", "component", *SKETCHES)]
+    open_buckets = buckets.where("members > 2").select("band", "doc", "n", "members")
+    for last in (False, True):
         named = open_buckets.join(found, open_buckets["doc"] == found["node"], "left_outer").select(
             "band", "doc", "n", "members", F.coalesce("component", "doc").alias("component")
         )
-        split = named.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band")
-        open_buckets = landed(named.join(split, "band", "left_semi"), "open")
-        if open_buckets.isEmpty():
-            break
-        # Documents in an order of chance; those that were centres before have met all others.
-        chance = F.pmod(F.xxhash64("band", "doc"), F.lit(1 << 30)) * F.col("members")
-        before = F.lit((centres // GROWTH if centres > GROWTH else 0) << 30)
-        hubs = open_buckets.where((chance >= before) & ((chance < F.lit(centres << 30)) | (F.col("members") <= centres)))
-        hubs = hubs.select("band", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))
-        pairs = open_buckets.join(hubs, "band").where("component <> hub_component").where(_alike_in_size("n", "hub_n", percent))
-        pairs = pairs.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
+        parts = named.groupBy("band", "component").agg(F.count("*").alias("size"))
+        main = parts.groupBy("band").agg(F.max_by("component", "size").alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        open_buckets = landed(named.join(main.select("band", "main"), "band").join(marks, ["doc", "n"]), "open")
+        # Hubs are chosen by chance first, of all that are outside the largest component last.
+        chance = F.pmod(F.xxhash64("band", "doc"), F.lit(1 << 30)) * F.col("members") < F.lit(SECOND_STARS << 30)
+        hubs = open_buckets.where(F.col("component") != F.col("main") if last else chance).select(*of_hub)
+        across = (F.col("band") == F.col("hub_band")) & (F.col("component") != F.col("hub_component"))
+        pairs = open_buckets.join(hubs, across & _alike_in_size("n", "hub_n", percent) & _may_link(percent))
+        pairs = pairs.select(F.least("doc", "hub_doc").alias("a"), F.greatest("doc", "hub_doc").alias("b")).distinct()
         fresh = landed(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         new = landed(confirmed(fresh), "links")
-        tested = tested.union(fresh)
         if not new.isEmpty():
             links = links.union(new)
             found = landed(components(given.union(links)), "components")
-        open_buckets = open_buckets.where(F.col("members") > centres).select("band", "doc", "n", "members")
+        if not last:
+            tested = tested.union(fresh)
+            open_buckets = open_buckets.select("band", "doc", "n", "members").distinct()
     result = signed.join(found, signed["doc"] == found["node"], "left_outer")
     component = F.coalesce("component", "doc")
     return result.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"))
