@@ -188,8 +188,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     tested = landed(near.select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = landed(confirmed(tested), "links")
     found = landed(components(given.union(links)), "components")
-    marks = sets.select(F.col("rep").alias("doc"), "n", *SKETCHES)
-    of_hub = [F.col(c).alias(f"hub_{c}") for c in ("band", "doc", "n", "component", *SKETCHES)]
+    marks = sets.select(F.col("rep").alias("doc"), "n", "bands", *SKETCHES)
+    of_hub = [F.col(c).alias(f"hub_{c}") for c in ("band", "doc", "n", "component", "bands", *SKETCHES)]
     open_buckets = buckets.where("members > 2").select("band", "doc", "n", "members")
     for last in (False, True):
         named = open_buckets.join(found, open_buckets["doc"] == found["node"], "left_outer").select(
@@ -199,10 +199,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         main = parts.groupBy("band").agg(F.max_by("component", "size").alias("main"), F.count("*").alias("parts")).where("parts > 1")
         open_buckets = landed(named.join(main.select("band", "main"), "band").join(marks, ["doc", "n"]), "open")
         # Hubs are chosen by chance first, of all that are outside the largest component last.
-        chance = F.pmod(F.xxhash64("band", "doc"), F.lit(1 << 30)) * F.col("members") < F.lit(SECOND_STARS << 30)
+        chance = F.pmod(F.xxhash64("doc"), F.lit(1 << 30)) * F.col("members") < F.lit(SECOND_STARS << 30)
         hubs = open_buckets.where(F.col("component") != F.col("main") if last else chance).select(*of_hub)
         across = (F.col("band") == F.col("hub_band")) & (F.col("component") != F.col("hub_component"))
-        pairs = open_buckets.join(hubs, across & _alike_in_size("n", "hub_n", percent) & _may_link(percent))
+        # A pair is made in the first bucket it shares, and by one of two hubs.
+        once = F.get(F.array_intersect("bands", "hub_bands"), 0) == F.col("band")
+        if last:
+            once = ((F.col("component") == F.col("main")) | (F.col("hub_doc") < F.col("doc"))) & once
+        pairs = open_buckets.join(hubs, across & _alike_in_size("n", "hub_n", percent) & _may_link(percent) & once)
         pairs = pairs.select(F.least("doc", "hub_doc").alias("a"), F.greatest("doc", "hub_doc").alias("b")).distinct()
         fresh = landed(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         new = landed(confirmed(fresh), "links")
