@@ -7,9 +7,6 @@ from pyspark.sql import Column, functions as F
 # Members that may hold the records, in the order they are tried.
 ENVELOPE_KEYS = ("results", "data", "items", "records")
 
-# How often a body may be JSON text inside a JSON string.
-DECODE_ROUNDS = 3
-
 # JSON white space.
 BLANKS = " \t\r\n"
 
@@ -37,6 +34,24 @@ def first_character(text: Column) -> Column:
     return F.left(F.ltrim(text, F.lit(BLANKS)), F.lit(1))
 
 
+def inside_strings(text: Column) -> Column:
+    """What JSON strings around a text hold, however many; other texts stay as they are.
+
+    A string escapes the quotes and backslashes of the one inside, which doubles them, so
+    that the length bounds the layers. Where escapes are spelled as code points it does
+    not; of such texts the last layers may be left.
+    """
+    layers = F.sequence(F.lit(1), F.ceil(F.log2(F.length(text) + 2)).cast("int"))
+
+    def inner(quoted: Column) -> Column:
+        return F.transform(F.array(listed(quoted)), lambda v: F.try_variant_get(sole(v), "$", "string"))[0]
+
+    def opened(held: Column, _: Column) -> Column:
+        return F.when(first_character(held) == '"', F.coalesce(inner(held), held)).otherwise(held)
+
+    return F.when(first_character(text) == '"', F.aggregate(layers, text, opened)).otherwise(text)
+
+
 def raw_response(text: Column) -> Column:
     return F.to_variant_object(F.struct(text.alias("raw_response")))
 

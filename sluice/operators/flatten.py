@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
 
-DEFAULT_DEPTH = 8
+# Levels that are opened between two looks for deeper objects.
+LEVELS_AT_A_TIME = 8
 
 
 def leaves(
     df: DataFrame,
     value: str = "value",
     keep: Sequence[str] = (),
-    depth: int = DEFAULT_DEPTH,
+    depth: int | None = None,
     sep: str = ".",
     strict: bool = True,
 ) -> DataFrame:
@@ -24,10 +25,11 @@ def leaves(
     Lists and JSON nulls are leaves; an empty object leaves nothing; a record
     that is no object is one leaf called `_value`. The input is read once: each
     level opens the objects the level before has found and passes on the rest.
-    A record nested deeper than `depth` fails the job rather than losing leaves, or
-    unless `strict` shows the deeper object as a leaf. `nesting_depth` tells how
-    deep the data is.
+    Without `depth`, `nesting_depth` looks first how deep the data is, so the input should
+    be a written table. A record nested deeper than a given `depth` fails the job rather
+    than losing leaves, or unless `strict` shows the deeper object as a leaf.
     """
+    depth = nesting_depth(df, value) if depth is None else depth
     level = _roots(df, value, keep)
     for _ in range(depth):
         level = _open(level, keep, sep)
@@ -64,7 +66,7 @@ def flatten_long(
     df: DataFrame,
     value: str = "value",
     keep: Sequence[str] = (),
-    depth: int = DEFAULT_DEPTH,
+    depth: int | None = None,
     sep: str = ".",
 ) -> DataFrame:
     """`keep`, `path STRING`, `value_json STRING`: one row per leaf."""
@@ -74,15 +76,15 @@ def flatten_long(
 
 
 def nesting_depth(df: DataFrame, value: str = "value") -> int:
-    """Levels of objects in the deepest record, counted in steps of `DEFAULT_DEPTH`.
+    """Levels of objects in the deepest record, counted in steps of `LEVELS_AT_A_TIME`.
 
     Runs one aggregation per step, so use it on a written table.
     """
     level = _roots(df, value)
     depth = 0
     while True:
-        depth += DEFAULT_DEPTH
-        for _ in range(DEFAULT_DEPTH):
+        depth += LEVELS_AT_A_TIME
+        for _ in range(LEVELS_AT_A_TIME):
             level = _open(level, (), ".")
         kind = V.kind(F.col("leaf"))
         deeper = level.select(

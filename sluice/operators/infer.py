@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
-from sluice.operators.flatten import DEFAULT_DEPTH, leaves
+from sluice.operators.flatten import LEVELS_AT_A_TIME, leaves
 
 # The types inference can produce.
 INFERRED = {
@@ -18,15 +18,12 @@ INFERRED = {
     "string": T.StringType(),
 }
 
-MAX_COLUMNS = 10_000
-
-
 # Bit of an object whose members were not looked at.
 _DEEPER = 1 << len(INFERRED)
 
 
 def column_types(
-    records: DataFrame, value: str = "value", depth: int = DEFAULT_DEPTH
+    records: DataFrame, value: str = "value", depth: int | None = None
 ) -> DataFrame:
     """`path`, `type`: one row per flattened path over all records.
 
@@ -36,7 +33,7 @@ def column_types(
     return _widened(_kinds(records, value, depth, strict=True)).select("path", "type")
 
 
-def _kinds(records: DataFrame, value: str, depth: int, strict: bool) -> DataFrame:
+def _kinds(records: DataFrame, value: str, depth: int | None, strict: bool) -> DataFrame:
     """The kinds found below each path as bits.
 
     A path is a hot key by nature, but each task passes on one row per path.
@@ -77,19 +74,20 @@ def infer_schema(
     records: DataFrame,
     value: str = "value",
     infer_types: bool = True,
-    max_columns: int = MAX_COLUMNS,
+    max_columns: int | None = None,
 ) -> T.StructType:
     """Schema with one nullable field per path; all STRING unless `infer_types`.
 
     One pass over the records, and another with doubled depth as long as some are
-    nested deeper. More than `max_columns` paths are an error: such objects are
-    maps, and belong in a declared MAP column.
+    nested deeper. More paths than `max_columns`, if it is given, are an error: such
+    objects are maps, and belong in a declared MAP column.
     """
-    depth = DEFAULT_DEPTH
+    depth = LEVELS_AT_A_TIME
     while True:
         found = _widened(_kinds(records, value, depth, strict=False))
-        rows = found.orderBy("path").limit(max_columns + 1).collect()
-        if len(rows) > max_columns:
+        ordered = found.orderBy("path")
+        rows = (ordered if max_columns is None else ordered.limit(max_columns + 1)).collect()
+        if max_columns is not None and len(rows) > max_columns:
             raise ValueError(f"more than {max_columns} flattened paths; declare a schema instead")
         if not any(r["deeper"] for r in rows):
             break

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
 from sluice.functions.envelopes import (
-    DECODE_ROUNDS,
     elements_as_text,
     first_character,
+    inside_strings,
     listed,
     may_hold_strings,
     quote_strings,
@@ -20,32 +20,22 @@ from sluice.functions.envelopes import (
 )
 
 INVALID_JSON = "invalid JSON"
-TOO_DEEP = f"JSON text nested in more than {DECODE_ROUNDS} strings"
+TOO_DEEP = "JSON text nested in too many strings"
 
 
 def with_items(pages: DataFrame, body: str = "body") -> DataFrame:
     """Adds `items ARRAY<VARIANT>` and `problem STRING` (null when readable).
 
-    The body is decoded up to `DECODE_ROUNDS` times while it is a JSON string.
-    Text inside a string that is not JSON becomes one `raw_response` record; a
-    body that is not JSON, or is nested deeper, yields null items and a problem.
+    The body is decoded as long as it is a JSON string. Text inside a string that is
+    not JSON becomes one `raw_response` record; a body that is not JSON yields null
+    items and a problem, and so does one with layers left (see `inside_strings`).
     """
     # Projections in sequence, so that each text is parsed once.
-    df = pages.withColumns({"_text": F.col(body), "_rounds": F.lit(0)})
-    for _ in range(DECODE_ROUNDS):
-        quoted = first_character(F.col("_text")) == '"'
-        df = df.withColumn("_listed", F.when(quoted, listed(F.col("_text"))))
-        df = df.withColumn("_inner", F.try_variant_get(sole(F.col("_listed")), "$", "string"))
-        df = df.withColumns(
-            {
-                "_text": F.coalesce("_inner", "_text"),
-                "_rounds": F.col("_rounds") + F.col("_inner").isNotNull().cast("int"),
-            }
-        )
+    df = pages.withColumn("_text", inside_strings(F.col(body)))
     df = df.withColumns(
         {"_listed": listed(F.col("_text")), "_first": first_character(F.col("_text"))}
     ).withColumn("_value", sole(F.col("_listed")))
-    decoded = F.col("_rounds") > 0
+    decoded = F.col("_text") != F.col(body)
     problem = F.when(F.col("_value").isNull() & ~decoded, F.lit(INVALID_JSON)).when(
         F.col("_value").isNotNull() & (F.col("_first") == '"'), F.lit(TOO_DEEP)
     )

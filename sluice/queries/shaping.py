@@ -172,7 +172,7 @@ def _nested(spark, sf_dir):
 )
 def flatten_long(spark, sf_dir):
     records = R.decode(_nested(spark, sf_dir), "record")
-    return to_leaves(records, keep=("event_id",), depth=4)
+    return to_leaves(records, keep=("event_id",))
 
 
 FLAT_SQL = """SELECT event_id, user_id AS "user.id", event_type AS "user.kind.type",

@@ -146,7 +146,7 @@ def infer_types(spark, sf_dir):
     varying = F.when(even, F.lit('{"amount":1,"mixed":true,')).otherwise(F.lit('{"amount":1.5,"mixed":7,'))
     body = F.concat(varying, F.substr(steady, F.lit(2)))
     records = decode(table(spark, sf_dir, "orders").select(body.alias("body")), "body")
-    return column_types(records, depth=2)
+    return column_types(records)
 
 
 DOCUMENT = {

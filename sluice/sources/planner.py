@@ -38,6 +38,11 @@ def plan(endpoints: Iterable[str], start: int, n: int, concurrency: int) -> list
         for endpoint in endpoints
         for first, last in page_ranges(start, n, concurrency)
     ]
+    return number(ranges)
+
+
+def number(ranges: list[PageRange]) -> list[PageRange]:
+    """The ranges, each told its place among all."""
     for index, r in enumerate(ranges):
         r.index, r.count = index, len(ranges)
     return ranges

@@ -1,45 +1,85 @@
-"""Stream side of `restpages`: the offset is the next page to read."""
+"""Stream side of `restpages`: the offset holds the next page of each endpoint."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSourceStreamReader
 
+from sluice.functions.envelopes import ENVELOPE_KEYS
+from sluice.sources.fetch import Fetcher
 from sluice.sources.options import PageOptions
 from sluice.sources.pages import read_range
-from sluice.sources.planner import PageRange, plan
+from sluice.sources.planner import PageRange, number, page_ranges
 
 
 class PageStreamReader(DataSourceStreamReader):
     """Pages from `start_page` to the last of `max_pages`, each in exactly one batch.
 
-    With `max_pages_per_trigger` a batch has at most that many pages per
-    endpoint. Offsets are page numbers, so a range can be read again after a
-    failure and gives the same pages.
+    An endpoint waits at its first page that is empty, missing or failing, which is asked
+    for again at the next trigger. With `max_pages_per_trigger` a batch has at most that
+    many pages per endpoint. A range can be read again after a failure and gives the same
+    pages. Pages that fail while they are read fail the batch, so that none is passed over;
+    a gap before a later page is a row of status 404.
     """
 
     def __init__(self, options: PageOptions):
         self.options = options
-        self.admitted = options.start_page
-        self.end = options.start_page + options.max_pages
+        self.fetcher = Fetcher(options.rate, options.rate_capacity)
+        self.next = self.initialOffset()
 
     def initialOffset(self) -> dict:
-        return {"page": self.options.start_page}
+        return dict.fromkeys(self.options.endpoints, self.options.start_page)
 
     def latestOffset(self) -> dict:
         step = self.options.max_pages_per_trigger or self.options.max_pages
-        self.admitted = max(self.admitted, min(self.admitted + step, self.end))
-        return {"page": self.admitted}
+        last = self.options.start_page + self.options.max_pages
+        for endpoint, page in self.next.items():
+            self.next[endpoint] = self._first_missing(endpoint, page, min(page + step, last))
+        return dict(self.next)
+
+    def _first_missing(self, endpoint: str, page: int, bound: int) -> int:
+        """The first page from `page` on that has no records, or `bound`: found in growing
+        steps and then by halves, with requests for about twice log2 of the new pages."""
+        width = 1
+        while page < bound:
+            probe = min(page + width, bound) - 1
+            if holds_records(*self.fetcher.page(self.options.for_endpoint(endpoint), probe)):
+                page, width = probe + 1, 2 * width
+            else:
+                bound, width = probe, max(1, (probe - page) // 2)
+        return page
 
     def partitions(self, start: dict, end: dict) -> list[PageRange]:
         # After a restart Spark comes here first, with the committed offsets.
-        self.admitted = max(self.admitted, end["page"])
-        n = max(0, end["page"] - start["page"])
-        return plan(self.options.endpoints, start["page"], n, self.options.concurrency)
+        ranges = []
+        for endpoint, page in self.next.items():
+            first = start.get(endpoint, self.options.start_page)
+            stop = end.get(endpoint, first)
+            self.next[endpoint] = max(page, stop)
+            found = page_ranges(first, max(0, stop - first), self.options.concurrency)
+            ranges += [PageRange(endpoint, *pages) for pages in found]
+        return number(ranges)
 
     def read(self, partition: PageRange | None) -> Iterator:
-        return read_range(self.options, partition)
+        return read_range(self.options, partition, fail=True)
 
     def commit(self, end: dict) -> None:
         pass
+
+
+def holds_records(status: int | None, body: str | None, error: str | None) -> bool:
+    """Whether a page was read and is not empty. Text that is not JSON counts as content,
+    which is read and reported."""
+    if error is not None or body is None or status is None or not 200 <= status < 300:
+        return False
+    value = body
+    while isinstance(value, str):
+        try:
+            value = json.loads(value)
+        except ValueError:
+            return True
+    if isinstance(value, dict):
+        value = next((value[k] for k in ENVELOPE_KEYS if isinstance(value.get(k), list)), value)
+    return value is not None and value != []

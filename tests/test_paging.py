@@ -10,10 +10,12 @@ from sluice.operators.records import decode
 from sluice.operators.sinks import page_incidents, read_records, write_json, write_records
 from sluice.plans.catalogue import catalogue_rows, history_violations, in_history_window, read_catalogue
 from sluice.plans.job import IngestFailed, run_ingest
+from sluice.sources.options import PageOptions
 from sluice.sources.requests_table import plan_requests
 from sluice.sources.planner import page_ranges
 from sluice.sources.readers import land
 from sluice.streaming.ingest import stream_pages, stream_to_table
+from sluice.streaming.page_stream import PageStreamReader, holds_records
 
 PAGES = [
     # stops at the empty page 3; the failure behind it does not count
@@ -158,6 +160,39 @@ def test_stream_reads_each_page_once(spark, page_files, tmp_path):
     assert run(10) == list(range(1, 11))
 
 
+def test_stream_waits_for_later_pages(spark, page_files, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run(contents):
+        base = page_files("items", contents)
+        stream_to_table(spark, base, out, checkpoint, endpoint="items", max_pages=9)
+        return sorted(r["page"] for r in spark.read.parquet(out).collect())
+
+    assert run([[1], [2]]) == [1, 2]
+    assert run([[1], [2]]) == [1, 2]
+    assert run([[1], [2], [3], [4], [5], []]) == [1, 2, 3, 4, 5]
+    # Pages that are gone for a while are not read again when they are back.
+    assert run([[], [2], [3], [4], [5]]) == [1, 2, 3, 4, 5]
+    assert run([[1], [2], [3], [4], [5], [6]]) == [1, 2, 3, 4, 5, 6]
+
+
+def test_stream_finds_the_end():
+    reader = PageStreamReader(PageOptions.parse({"base_url": "file:/none", "max_pages": "40"}))
+    for last in range(41):
+        asked = []
+        reader.fetcher.page = lambda _, page: (asked.append(page), (200, "[1]", None) if page <= last else (200, "[]", None))[1]
+        reader.next = reader.initialOffset()
+        assert reader.latestOffset() == {"": last + 1}
+        assert len(asked) <= 14
+
+
+def test_pages_that_hold_records():
+    assert holds_records(200, '{"data":[1]}', None) and holds_records(200, "{bad", None) and holds_records(200, "{}", None)
+    for body in ("[]", '"[]"', '{"data":[]}', "null", None):
+        assert not holds_records(200, body, None)
+    assert not holds_records(500, "[1]", None) and not holds_records(200, "[1]", "timeout")
+
+
 def test_stream_admission(spark, page_files, tmp_path):
     base = page_files("items", [[n] for n in range(1, 8)])
     sizes = []

@@ -44,12 +44,22 @@ def test_unwrap(spark):
     assert list(found.values()) == list(ENVELOPES.values())
 
 
+def test_any_number_of_strings_is_decoded(spark):
+    bodies = ['[{"a":"x\\"y"},2]']
+    for _ in range(9):
+        bodies.append(json.dumps(bodies[-1]))
+    pages = spark.createDataFrame([(b,) for b in bodies], "body STRING")
+    rows = R.unwrap(pages).select("pos", F.to_json("value").alias("v")).distinct().collect()
+    assert sorted((r["pos"], json.loads(r["v"])) for r in rows) == [(0, {"a": 'x"y'}), (1, 2)]
+    assert R.unwrap(pages).count() == 2 * len(bodies)
+
+
 def test_unreadable_bodies_are_problems(spark):
     four_times = "[1]"
     for _ in range(4):
         four_times = json.dumps(four_times)
     bodies = {"{bad": R.INVALID_JSON, '{"a":1}{"b":2}': R.INVALID_JSON, '[1],[2]': R.INVALID_JSON, "": R.INVALID_JSON,
-              "1],[2": R.INVALID_JSON, four_times: R.TOO_DEEP, "[1]": None}
+              "1],[2": R.INVALID_JSON, four_times: None, "[1]": None}
     pages = spark.createDataFrame(list(enumerate(bodies)), "n INT, body STRING")
     rows = R.with_items(pages).orderBy("n").collect()
     assert [r["problem"] for r in rows] == list(bodies.values())
@@ -118,9 +128,9 @@ def test_flatten_never_loses_depth(values):
     for _ in range(9):
         nested = '{"a":' + nested + "}"
     with pytest.raises(Exception, match="nested deeper than 8 levels"):
-        long_form(values, nested)
+        long_form(values, nested, depth=8)
     assert nesting_depth(values(nested)) == 16
-    assert long_form(values, nested, depth=16) == {".".join("a" * 9): "1"}
+    assert long_form(values, nested) == long_form(values, nested, depth=16) == {".".join("a" * 9): "1"}
     assert nesting_depth(values('{"a":{}}', "7")) == 8
 
 
