@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
+from sluice.llm import toxicity
 from sluice.llm.cotraining import classify
 from sluice.llm.debruijn import dedup_substrings
 from sluice.llm.decontaminate import contamination
+from sluice.llm.divergence import AUDIT_SQL, audit_sources
 from sluice.llm.licences import scan_licences
 from sluice.llm.minhash import near_duplicates
 from sluice.llm.packing import pack, token_pieces
+from sluice.llm.pivot_codes import compress, with_label_errors
 from sluice.llm.registry import query, table
 from sluice.llm.repetition import repetition_rules
 from sluice.llm.suffix_dedup import dedup_bytes
@@ -84,3 +89,23 @@ def op9(spark, sf_dir):
 @query("op2_one_permutation")
 def op2(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@query("op12_source_divergence", AUDIT_SQL)
+def op12(spark, sf_dir):
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op13_laesa_pivots")
+def op13(spark, sf_dir):
+    codes, trained = compress(table(spark, sf_dir, "embeddings"))
+    digest = trained.digest() if trained else hashlib.sha256(b"").hexdigest()
+    return with_label_errors(codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
+@query("op11_nearest_examples")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
