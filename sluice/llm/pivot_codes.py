@@ -29,6 +29,9 @@ SCALE = 1024
 # Entries evaluated at once in the order of their bounds, and vectors assigned at once.
 FIRST = 4
 SLICE_ROWS = 1024
+# Where more than this share of the pairs stays open, one product evaluates them faster than
+# one by one; what the bounds have ruled out is left out of it afterwards.
+MANY = 0.1
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -77,15 +80,29 @@ class Nearest:
         # Distance and index as one number: the least is the nearest, ties to the lower index.
         best = (distances(parts[:, None], self.book[first]) * size + first).min(axis=1)
         np.put_along_axis(bound, first, np.inf, axis=1)
-        row, entry = np.nonzero(bound <= (best // size)[:, None])
+        open_ = bound <= (best // size)[:, None]
+        self.evaluated += first.size + int(open_.sum())
+        if open_.mean() > MANY and self._exact_in_floats(parts):
+            best = np.minimum(best, np.where(open_, self._all(parts) * size + np.arange(size), best[:, None]).min(axis=1))
+            return best % size, best // size
+        row, entry = np.nonzero(open_)
         if len(row):
             found = distances(parts[row], self.book[entry]) * size + entry
             begins = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
             rows = row[begins]
             best[rows] = np.minimum(best[rows], np.minimum.reduceat(found, begins))
-        self.evaluated += first.size + len(row)
         return best % size, best // size
 
+    def _exact_in_floats(self, parts: np.ndarray) -> bool:
+        """Whether products of these integers add up below 2^53, where doubles are exact."""
+        most = max(np.abs(parts).max(initial=0), np.abs(self.book).max(initial=0))
+        return 4 * int(most) ** 2 * self.book.shape[1] < 1 << 53
+
+    def _all(self, parts: np.ndarray) -> np.ndarray:
+        """Distances of all parts to all entries by one matrix product."""
+        x, e = parts.astype(np.float64), self.book.astype(np.float64)
+        return ((x**2).sum(axis=1)[:, None] + (e**2).sum(axis=1) - 2 * (x @ e.T)).astype(np.int64)
+
 
 def scaled(column: pa.Array, width: int, largest: int) -> np.ndarray:
     """Vectors as integers floor(1024 x), one row each."""
