@@ -64,7 +64,7 @@ def _edges(docs: bytes, text: str, key: str, size: int, seed: int, repeated: np.
         words = texts.words()
         at, low = _minima(words, size, seed)
         at = at[is_in(low, repeated)]
-        yield part, words, at, rolling(words.hash, at, at + size, _EDGE)
+        yield part, words, at, grams(words.hash, size, _EDGE)[at]
 
 
 def _neighbours(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

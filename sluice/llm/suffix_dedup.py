@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from sluice.llm.chunks import (
     ASK, asks, buckets_for, chunked, doc_ids, exchange, in_order, is_in, repeated_keys, repeated_seeds, seed_asks, texts_of, with_replies,
 )
-from sluice.llm.text import Texts, byte_values, covered, grams, mix, rolling, sliding
+from sluice.llm.text import Texts, byte_values, covered, mix, polynomial, sliding
 
 SIZE = 100
 GRAM = 32
@@ -42,7 +42,8 @@ def _anchors(texts: Texts, size: int, gram: int) -> tuple[np.ndarray, np.ndarray
     if n < size:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64)
-    hashes = grams(byte_values(texts.data), gram)
+    starts = np.arange(n - gram + 1)
+    hashes = polynomial(byte_values(texts.data), starts, starts + gram)
     low = sliding(hashes, size - gram + 1)
     # A window that reaches into the next row is none: it asks for 0, which no hash is.
     ends = np.searchsorted(texts.offsets, np.arange(len(low)), "right")
@@ -77,7 +78,7 @@ class _Occurrences:
             left = np.minimum(at - texts.offsets[row], size - gram)
             right = np.minimum(texts.offsets[row + 1] - at, size)
             values = byte_values(texts.data)
-            names = [rolling(values, at - left, at + right, b) + (left.astype(np.uint64) << np.uint64(8)) for b in (_REACH, 0x9E3779B97F4A7C15)]
+            names = [polynomial(values, at - left, at + right, b) + (left.astype(np.uint64) << np.uint64(8)) for b in (_REACH, 0x9E3779B97F4A7C15)]
             columns.append([np.full(len(at), i), at, row, doc_ids(part, key)[row], at - texts.offsets[row], left, right, anchor, *names])
             self.parts.append((part, texts))
         self.part, self.at, self.row, self.doc, self.start, self.left, self.right, self.anchor, a, b = (

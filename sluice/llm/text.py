@@ -1,4 +1,4 @@
-"""Numpy on the bytes of many texts at once: words, rolling hashes, sliding minima.
+"""Numpy on the bytes of many texts at once: words, hashes of runs, sliding minima.
 
 Task functions see an Arrow batch of texts as one byte array with row offsets. Work is
 cut into slices of about `SLICE` bytes, so that memory follows the slice and the
@@ -55,8 +55,12 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables[base]
 
 
-def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _STEP) -> np.ndarray:
-    """A hash of values[start:end] for each pair, alike for alike sequences."""
+def polynomial(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _STEP) -> np.ndarray:
+    """A cheap hash of values[start:end] for each pair, alike for alike sequences.
+
+    A polynomial modulo 2**64: good for runs of a few hundred values only. There are pairs of
+    sequences of 1,024 values that collide whatever the base is; use `rolling` for runs of any length.
+    """
     power, inverse = _powers(base, len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[: len(values)], out=total[1:])
@@ -67,10 +71,46 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE[data]
 
 
+# Values hashed at once by `rolling`.
+_AT_ONCE = 1 << 20
+
+
+def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _STEP) -> np.ndarray:
+    """A hash of values[start:end] for each pair, alike for alike sequences.
+
+    Every value is scrambled together with its place in the run, and the results are added
+    up, so that sequences collide like random 64-bit numbers, however they are built.
+    """
+    lengths = np.maximum(ends - starts, 0)
+    out = np.empty(len(starts), np.uint64)
+    before = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=before[1:])
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(before, before[first] + _AT_ONCE, "right")) - 1)
+        sizes = lengths[first:last]
+        skipped = before[first:last] - before[first]
+        place = np.arange(before[last] - before[first]) - np.repeat(skipped, sizes)
+        held = values[place + np.repeat(starts[first:last], sizes)]
+        key = (place.astype(np.uint64) + np.uint64(base & 0xFFFFFFFF)) * np.uint64(_STEP)
+        total = np.zeros(len(held) + 1, np.uint64)
+        np.cumsum(mix(held ^ key), out=total[1:])
+        out[first:last] = total[skipped + sizes] - total[skipped]
+        first = last
+    return mix(out + lengths.astype(np.uint64) * np.uint64(base | 1))
+
+
 def grams(values: np.ndarray, size: int, base: int = _STEP) -> np.ndarray:
-    """Hashes of all runs of `size` consecutive values."""
-    starts = np.arange(max(0, len(values) - size + 1))
-    return rolling(values, starts, starts + size, base)
+    """Hashes of all runs of `size` consecutive values, by doubling: a run is named by the names
+    of two shorter runs that cover it, scrambled after each step. Other names than `rolling`'s."""
+    names, have = mix(values ^ np.uint64(base)), 1
+    if len(values) < size:
+        return names[:0]
+    while have < size:
+        step = min(have, size - have)
+        names = mix(names[: len(names) - step] * np.uint64(_MIX[0]) + names[step:])
+        have += step
+    return names
 
 
 def sliding(values: np.ndarray, width: int, op=np.minimum) -> np.ndarray:

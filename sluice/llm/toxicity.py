@@ -2,7 +2,7 @@
 
 A bounded sample of labelled documents are the examples. Terms are byte 5- to 7-grams of
 lower-cased words with the blanks around them, packed into 64-bit numbers without loss;
-those that tell the labels of the examples apart best are kept. Their document frequencies
+those that mark the toxic examples best are kept. Their document frequencies
 come from all documents. The index holds, term by term, the weights of the examples in
 blocks, and the largest weight of every block.
 
@@ -26,8 +26,8 @@ from sluice.llm.components import landed
 from sluice.llm.text import LOWER, Texts, batch_of, by_slice, mix, slices
 
 # The sample of labelled rows, half of each label at most, and the terms kept: together they
-# bound the index (every example with every term would take EXAMPLES * TERMS * 8 bytes, 64 MB).
-EXAMPLES, TERMS = 4096, 2048
+# bound the index (every example with every term would take EXAMPLES * TERMS * 16 bytes, 32 MB).
+EXAMPLES, TERMS = 4096, 512
 # Examples that must hold a term, neighbours that vote, neighbours and terms shown.
 LEAST_EXAMPLES, NEIGHBOURS, SHOWN = 5, 15, 3
 BLOCK = 32
@@ -299,7 +299,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     b = F.col("n") - F.col("a")
     gap = F.col("a") * (total - pos - b) - b * (pos - F.col("a"))
     chi = gap * gap / (F.col("n") * (total - F.col("n")))
-    best = gram.where((F.col("n") >= LEAST_EXAMPLES) & (F.col("n") < total)).orderBy(chi.desc(), "gram").limit(terms).select("gram")
+    best = gram.where((F.col("n") >= LEAST_EXAMPLES) & (F.col("n") < total) & (gap > 0)).orderBy(chi.desc(), "gram").limit(terms).select("gram")
     chosen = [r["gram"] for r in best.collect()]
     vocabulary = Vocabulary(np.array(chosen, np.int64).view(np.uint64))
     frequencies = docs.select(F.col(text).cast("string").alias("_text")).mapInArrow(_document_frequencies(vocabulary), "term long, n long")
