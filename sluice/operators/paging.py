@@ -35,13 +35,19 @@ def plan_partitions(
     )
 
 
-def with_outcome(pages: DataFrame) -> DataFrame:
-    """Adds `n_items INT` for readable pages and completes `error` for unreadable ones."""
+def with_outcome(pages: DataFrame, keep_items: bool = False) -> DataFrame:
+    """Adds `n_items INT` for readable pages and completes `error` for unreadable ones.
+
+    With `keep_items` their records stay too, as `items ARRAY<VARIANT>`: once written, they
+    need not be parsed again (`records.records_of`).
+    """
     read = with_items(pages)
+    good = succeeded() & F.col("error").isNull() & F.col("problem").isNull()
     return read.select(
         *[c for c in pages.columns if c != "error"],
         F.coalesce("error", F.when(succeeded(), F.coalesce("problem", _no_body()))).alias("error"),
-        F.when(succeeded() & F.col("error").isNull() & F.col("problem").isNull(), F.size("items")).alias("n_items"),
+        F.when(good, F.size("items")).alias("n_items"),
+        *([F.when(good, F.col("items")).alias("items")] if keep_items else []),
     )
 
 

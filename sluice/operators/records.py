@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
@@ -31,19 +33,22 @@ def with_items(pages: DataFrame, body: str = "body") -> DataFrame:
     items and a problem, and so does one with layers left (see `inside_strings`).
     """
     # Projections in sequence, so that each text is parsed once.
-    df = pages.withColumn("_text", inside_strings(F.col(body)))
-    df = df.withColumns(
-        {"_listed": listed(F.col("_text")), "_first": first_character(F.col("_text"))}
-    ).withColumn("_value", sole(F.col("_listed")))
+    text, parsed, value, items, problem = _item_columns(body, id(SparkContext._active_spark_context))
+    df = pages.withColumn("_text", text).withColumns(parsed).withColumn("_value", value)
+    return df.select(*pages.columns, items.alias("items"), problem.alias("problem"))
+
+
+@lru_cache(maxsize=16)
+def _item_columns(body: str, context: int) -> tuple:
+    """The expressions of `with_items`, which take long to put together: once per context."""
+    text = inside_strings(F.col(body))
+    parsed = {"_listed": listed(F.col("_text")), "_first": first_character(F.col("_text"))}
     decoded = F.col("_text") != F.col(body)
     problem = F.when(F.col("_value").isNull() & ~decoded, F.lit(INVALID_JSON)).when(
         F.col("_value").isNotNull() & (F.col("_first") == '"'), F.lit(TOO_DEEP)
     )
-    return df.select(
-        *pages.columns,
-        _items(F.col("_text"), F.col("_value"), F.col("_first"), decoded).alias("items"),
-        F.when(F.col(body).isNotNull(), problem).alias("problem"),
-    )
+    items = _items(F.col("_text"), F.col("_value"), F.col("_first"), decoded)
+    return text, parsed, sole(F.col("_listed")), items, F.when(F.col(body).isNotNull(), problem)
 
 
 def _items(text: Column, value: Column, first: Column, decoded: Column) -> Column:
@@ -91,6 +96,11 @@ def unwrap(pages: DataFrame, body: str = "body", keep: Sequence[str] | None = No
     return _one_row_each(items, kept, _readable(F.col("items"), F.col(body), F.col("problem")))
 
 
+def records_of(pages: DataFrame, keep: Sequence[str] = ("endpoint", "page")) -> DataFrame:
+    """`keep`, `pos INT`, `value VARIANT` of landed pages that kept their `items`."""
+    return _one_row_each(pages, keep, F.col("items"))
+
+
 def records_at(
     pages: DataFrame,
     json_path: str | None = None,

@@ -67,36 +67,48 @@ def page_incidents(failed: DataFrame) -> DataFrame:
     )
 
 
+def conversion_problems(members: Sequence[Column], schema: T.StructType) -> list[Column]:
+    """For each field a message where its member is present but does not convert, else null."""
+    checks = []
+    for found, field in zip(members, schema.fields):
+        present = F.coalesce(~F.is_variant_null(found), F.lit(False))
+        lost = present & V.convert(found, field.dataType).isNull()
+        checks.append(F.when(lost, _not_as(field, V.text_of(found))))
+    return checks
+
+
+def null_problems(schema: T.StructType) -> list[Column]:
+    """For each field that is declared as not nullable a message where its column is null."""
+    return [F.when(F.col(f"`{f.name}`").isNull(), F.lit(f"{f.name} is null")) for f in schema.fields if not f.nullable]
+
+
 def conversion_incidents(
     records: DataFrame, schema: T.StructType, value: str = "value"
 ) -> DataFrame:
     """Incident rows for values that are present but do not convert to their column."""
-    checks, members = [], []
-    for n, field in enumerate(schema.fields):
-        found = F.col(f"_member{n}")
-        members.append(V.flattened(F.col(value), field.name).alias(f"_member{n}"))
-        present = F.coalesce(~F.is_variant_null(found), F.lit(False))
-        lost = present & V.convert(found, field.dataType).isNull()
-        checks.append(F.when(lost, _not_as(field, V.text_of(found))))
-    return _record_incidents(records.select("endpoint", "page", *members), checks)
+    members = [V.flattened(F.col(value), f.name).alias(f"_member{n}") for n, f in enumerate(schema.fields)]
+    checks = conversion_problems([F.col(f"_member{n}") for n in range(len(members))], schema)
+    return record_incidents(records.select("endpoint", "page", *members), checks)
 
 
 def null_incidents(records: DataFrame, schema: T.StructType) -> DataFrame:
     """Incident rows for nulls in columns the schema declares as not nullable."""
-    checks = [
-        F.when(F.col(f"`{f.name}`").isNull(), F.lit(f"{f.name} is null"))
-        for f in schema.fields
-        if not f.nullable
-    ]
-    return _record_incidents(records, checks)
+    return record_incidents(records, null_problems(schema))
 
 
 def _not_as(field: T.StructField, text: Column) -> Column:
     return F.concat(F.lit(f"{field.name} is not {field.dataType.simpleString()}: "), text)
 
 
-def _record_incidents(records: DataFrame, checks: list[Column]) -> DataFrame:
-    messages = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+def gathered(checks: Sequence[Column]) -> Column:
+    """The messages among `checks` as a list."""
+    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+
+
+def record_incidents(records: DataFrame, checks: Sequence[Column] | Column) -> DataFrame:
+    """Incident rows for the messages of records: one for each check that is not null, or for
+    each element of a list of messages."""
+    messages = checks if isinstance(checks, Column) else gathered(checks)
     found = records.select("endpoint", "page", F.explode_outer(messages).alias("message"))
     return found.where(F.col("message").isNotNull()).select(
         "endpoint",

@@ -20,7 +20,7 @@ CONFIG_SCHEMA = f"""
     `endpoint-name`: STRING,
     params: MAP<STRING, STRING>,
     headers: MAP<STRING, STRING>,
-    auth: STRUCT<username: STRING, `password-env`: STRING>>>>
+    auth: STRUCT<username: STRING, password: STRING, `password-env`: STRING>>>>
 """
 
 
@@ -32,9 +32,9 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 def catalogue_rows(documents: DataFrame, text: str) -> DataFrame:
     """One row per endpoint of each configuration document.
 
-    Passwords are named by environment variable (`password-env`); a password
-    written into a document is not read. A document without the root member is
-    an error.
+    Passwords are named by environment variable (`password-env`). A user whose password is
+    written into the document instead is an error, and so is a document without the root
+    member.
     """
     root = F.col("_config").getField(ROOT_KEY)
     checked = F.coalesce(root, F.raise_error(F.lit(f"configuration has no {ROOT_KEY}")))
@@ -57,7 +57,7 @@ def catalogue_rows(documents: DataFrame, text: str) -> DataFrame:
         endpoint["endpoint-name"].alias("endpoint"),
         endpoint["params"].alias("params"),
         endpoint["headers"].alias("headers"),
-        endpoint["auth"]["username"].alias("auth_username"),
+        _checked_user(endpoint["auth"]).alias("auth_username"),
         endpoint["auth"]["password-env"].alias("auth_password_env"),
         "history_enabled",
         "start_date",
@@ -65,6 +65,13 @@ def catalogue_rows(documents: DataFrame, text: str) -> DataFrame:
     )
 
 
+def _checked_user(auth: Column) -> Column:
+    """The user name; a failure where only a clear-text password comes with it."""
+    user, given, variable = (F.coalesce(auth[m], F.lit("")) for m in ("username", "password", "password-env"))
+    refused = F.raise_error(F.concat(F.lit("the password of user "), user, F.lit(" must be named by password-env, not written down")))
+    return F.when((user != "") & (given != "") & (variable == ""), refused).otherwise(auth["username"])
+
+
 def _either(history: Column, side: str) -> Column:
     """The date under either spelling of its name."""
     return F.coalesce(history[f"{side}_date"], history[f"{side}-date"])

@@ -15,7 +15,7 @@ from sluice.operators.paging import (
 )
 from sluice.operators.sinks import page_incidents, read_records, write_json, write_records
 from sluice.plans.catalogue import catalogue_rows, history_violations, in_history_window
-from sluice.plans.job import run_ingest
+from sluice.plans.job import read_typed, run_ingest
 from sluice.queries.registry import query
 from sluice.queries.tables import as_json, new_base, scan_options, stage_pages, table
 from sluice.sources.readers import land, read_pages, read_table
@@ -245,10 +245,61 @@ def ingest_job(spark, sf_dir):
         }
     }
     documents = spark.createDataFrame([(json.dumps(document),)], "value STRING")
-    paths = run_ingest(spark, catalogue_rows(documents, "value"), new_base(spark, "out"), max_pages=pages)
+    # How far an endpoint goes is found out by the job.
+    paths = run_ingest(spark, catalogue_rows(documents, "value"), new_base(spark, "out"), max_pages=1000 * pages)
     return read_records(spark, paths["records"])
 
 
+def _typed_job(spark, sf_dir) -> dict[str, str]:
+    """Customers and orders as one endpoint each, some values of which are wrong."""
+    base = new_base(spark, "typed")
+    key = F.col("o_orderkey")
+    price = F.when(key % 11 == 0, F.lit("n/a")).when(key % 7 != 0, F.col("o_totalprice").cast("string"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", price.alias("o_totalprice"), F.struct("o_custkey", "o_orderstatus").alias("o"))
+    stage_pages(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_name"), base, "customer")
+    stage_pages(orders, base, "orders")
+    document = {
+        "ingest-souce-config": {
+            "app-name": "shop",
+            "base-url": base,
+            "endpoints": [{"endpoint-name": "customer"}, {"endpoint-name": "orders"}, {"endpoint-name": "nothing"}],
+        }
+    }
+    documents = spark.createDataFrame([(json.dumps(document),)], "value STRING")
+    order = T.StructType().add("o_orderkey", T.LongType(), False).add("o_totalprice", T.DoubleType(), False)
+    schemas = {
+        "customer": T.StructType().add("c_custkey", T.LongType(), False).add("c_acctbal", T.DoubleType()),
+        "orders": order.add("o.o_custkey", T.LongType()).add("o.o_orderstatus", T.StringType()),
+    }
+    return run_ingest(
+        spark, catalogue_rows(documents, "value"), new_base(spark, "out"), max_pages=1_000_000, on_error="quarantine", schemas=schemas
+    )
+
+
+@query(
+    "typed_ingest",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
+         o_custkey, o_orderstatus, c_acctbal FROM orders LEFT JOIN customer ON c_custkey = o_custkey""",
+)
+def typed_ingest(spark, sf_dir):
+    paths = _typed_job(spark, sf_dir)
+    orders = read_typed(spark, paths, "orders").withColumnsRenamed({"o.o_custkey": "o_custkey", "o.o_orderstatus": "o_orderstatus"})
+    customers = read_typed(spark, paths, "customer")
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").drop("c_custkey")
+
+
+@query(
+    "job_incidents",
+    """SELECT 'orders' AS endpoint, 'API Ingestion Job Failed' AS short_description,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'o_totalprice is not double: n/a' ELSE 'o_totalprice is null' END AS problem,
+         count(*) AS n FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 GROUP BY ALL""",
+)
+def job_incidents(spark, sf_dir):
+    found = spark.read.parquet(_typed_job(spark, sf_dir)["incidents"])
+    problem = F.regexp_replace("description", r"^orders page \d+: ", "")
+    return found.groupBy("endpoint", "short_description", problem.alias("problem")).agg(F.count("*").alias("n"))
+
+
 def _configurations(spark, sf_dir) -> DataFrame:
     """One configuration document per customer."""
     key = F.col("c_custkey")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from email.utils import parsedate_to_datetime
 from urllib.parse import quote, urlsplit
 
 from sluice.sources.options import RETRY_STATUSES, Request
@@ -14,51 +16,59 @@ Answer = tuple[int | None, str | None, str | None]
 class Fetcher:
     """Asks for pages one after the other, as task `index` of `count`.
 
-    If `rate` is set, all tasks together make at most that many requests a second:
-    executors share no state, so each has an equal part of the rate and of
-    `capacity`, the requests that may go out at once. First requests are staggered.
+    If `rate` is set, all tasks together make at most that many requests a second: each has
+    an equal part of the rate and of `capacity`, the requests that may go out at once. First
+    requests are staggered. (`pacing` shares a rate among the tasks that have work.)
+    `new_session` makes the HTTP session, for proxies, certificates or adapters.
     """
 
-    def __init__(self, rate: float = 0.0, capacity: float = 1.0, index: int = 0, count: int = 1):
+    def __init__(
+        self, rate: float = 0.0, capacity: float = 1.0, index: int = 0, count: int = 1, new_session: Callable | None = None
+    ):
         self.rate = rate / count
         self.most = max(capacity / count, 1.0)
         self.tokens = self.most - index / count
         self.at = time.monotonic()
         self.session = None
+        self.new_session = new_session
 
     def page(self, request: Request, page: int | None) -> Answer:
-        if urlsplit(request.url).scheme in ("http", "https"):
-            return self._http(request, page)
-        return read_file(request, page)
-
-    def _http(self, request: Request, page: int | None) -> Answer:
+        """The answer after all retries; between them the task sleeps."""
+        for attempt in range(request.retries + 1):
+            answer, wait = self.ask(request, page, attempt)
+            if wait is None or attempt == request.retries:
+                break
+            time.sleep(wait)
+        return answer
+
+    def ask(self, request: Request, page: int | None, attempt: int = 0) -> tuple[Answer, float | None]:
+        """One request, and how many seconds to wait before another try: None if a try would
+        not help, else the backoff of this attempt, or what the server's Retry-After asks for."""
+        if urlsplit(request.url).scheme not in ("http", "https"):
+            return read_file(request, page), None
         import requests
 
         if self.session is None:
-            self.session = requests.Session()
+            self.session = self.new_session() if self.new_session else requests.Session()
         params = dict(request.params)
         if page is not None:
             params[request.page_param] = page
-        for attempt in range(request.retries + 1):
-            self._wait_for_token()
-            last = attempt == request.retries
-            try:
-                answer = self.session.get(
-                    request.url,
-                    params=params,
-                    headers=request.headers,
-                    auth=request.auth,
-                    timeout=request.timeout,
-                )
-            except (requests.ConnectionError, requests.Timeout) as e:
-                if last:
-                    return None, None, f"{type(e).__name__}: {e}"
-            except requests.RequestException as e:
-                return None, None, f"{type(e).__name__}: {e}"
-            else:
-                if answer.status_code not in RETRY_STATUSES or last:
-                    return _decoded(answer)
-            time.sleep(request.backoff * 2**attempt if attempt else 0)
+        backoff = request.backoff * 2**attempt if attempt else 0.0
+        self._wait_for_token()
+        try:
+            answer = self.session.get(
+                request.url,
+                params=params,
+                headers=request.headers,
+                auth=request.auth,
+                timeout=request.timeout,
+            )
+        except (requests.ConnectionError, requests.Timeout) as e:
+            return (None, None, f"{type(e).__name__}: {e}"), backoff
+        except requests.RequestException as e:
+            return (None, None, f"{type(e).__name__}: {e}"), None
+        again = answer.status_code in RETRY_STATUSES
+        return _decoded(answer), max(backoff, retry_after(answer.headers.get("Retry-After"))) if again else None
 
     def _wait_for_token(self) -> None:
         if self.rate <= 0:
@@ -74,6 +84,18 @@ class Fetcher:
         self.tokens -= 1
 
 
+def retry_after(header: str | None, now: float | None = None) -> float:
+    """Seconds that a Retry-After header asks to wait, given as a number or as a date; 0 if it
+    is missing, past or unreadable."""
+    text = (header or "").strip()
+    if text.isascii() and text.isdigit():
+        return float(text)
+    try:
+        return max(0.0, parsedate_to_datetime(text).timestamp() - (time.time() if now is None else now))
+    except ValueError:
+        return 0.0
+
+
 def _decoded(answer) -> Answer:
     try:
         return answer.status_code, answer.content.decode("utf-8-sig"), None

@@ -21,6 +21,9 @@ from sluice.sources.options import PageOptions
 from sluice.sources.planner import PageRange, plan
 
 RAW_PAGES = "endpoint STRING, page INT, status INT, body STRING, error STRING"
+# Of single attempts, with the number of tries before and the time from which on another
+# may be made.
+ATTEMPTS = f"{RAW_PAGES}, attempt INT, not_before DOUBLE"
 
 # A batch of pages is handed to Spark when it holds this many bytes or rows.
 BATCH_BYTES = 4 << 20
@@ -102,17 +105,14 @@ def in_batches(rows: Iterable[tuple]) -> Iterator:
         yield to_batch(pending)
 
 
+_ARROW_KINDS = {"STRING": "string", "INT": "int32", "DOUBLE": "double"}
+
+
 def to_batch(rows: list[tuple]):
+    """Rows of raw pages, or of attempts at them, as a batch."""
     import pyarrow as pa
 
-    schema = pa.schema(
-        [
-            ("endpoint", pa.string()),
-            ("page", pa.int32()),
-            ("status", pa.int32()),
-            ("body", pa.string()),
-            ("error", pa.string()),
-        ]
-    )
+    fields = [f.split() for f in (RAW_PAGES if len(rows[0]) == 5 else ATTEMPTS).split(", ")]
+    schema = pa.schema([(name, pa.type_for_alias(_ARROW_KINDS[kind])) for name, kind in fields])
     columns = [pa.array(values, f.type) for values, f in zip(zip(*rows), schema)]
     return pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -138,7 +138,7 @@ def test_job_reports_and_fails(spark, page_files, tmp_path):
     base = page_files("people", [[{"id": 1}], "{bad", [{"id": 3}], []])
     (tmp_path / "c.json").write_text(json.dumps(config(base, {"enabled": False}, [{"endpoint-name": "people"}])))
     run = dict(spark=spark, catalogue=str(tmp_path / "c.json"), out=str(tmp_path / "out"), max_pages=6, tasks=2)
-    with pytest.raises(IngestFailed, match="1 pages could not be read"):
+    with pytest.raises(IngestFailed, match="1 pages or values could not be read"):
         run_ingest(**run)
     paths = run_ingest(**run, on_error="quarantine")
     assert [r["description"] for r in spark.read.parquet(paths["incidents"]).collect()] == ["people page 2: invalid JSON"]
