@@ -114,7 +114,7 @@ def read_file(request: Request, page: int | None) -> Answer:
 
     location = page_location(request, page)
     try:
-        files, path = _file_system(location)
+        files, path = open_file_system(location)
         info = files.get_file_info(path)
         if info.type == fs.FileType.NotFound:
             return 404, None, None
@@ -128,7 +128,7 @@ def read_file(request: Request, page: int | None) -> Answer:
         return None, None, f"{type(e).__name__}: {e}"
 
 
-def _file_system(location: str):
+def open_file_system(location: str):
     from pyarrow import fs
 
     if "://" in location:

@@ -13,6 +13,9 @@ RETRIES = 2
 BACKOFF_SECONDS = 1.0
 TIMEOUT_SECONDS = 30.0
 
+# Pages without records that a stream looks past for the next page.
+MAX_GAP = 3
+
 
 def join_url(base: str, endpoint: str | None) -> str:
     """Base and endpoint with exactly one slash between them."""
@@ -47,6 +50,8 @@ class PageOptions:
     rate_capacity: float
     max_pages_per_trigger: int
     filter_pushdown: bool
+    state_path: str | None
+    max_gap: int
     request: Request
 
     @staticmethod
@@ -69,12 +74,14 @@ class PageOptions:
             rate_capacity=float(text("rate_capacity") or text("rate_per_sec") or text("rate") or 0) or 1.0,
             max_pages_per_trigger=int(text("max_pages_per_trigger", "0")),
             filter_pushdown=text("filter_pushdown", "false").lower() == "true",
+            state_path=text("state_path"),
+            max_gap=int(text("max_gap", str(MAX_GAP))),
             request=parse_request(base_url, options),
         )
         if parsed.concurrency < 1:
             raise ValueError("option concurrency must be at least 1")
-        if parsed.max_pages < 0 or parsed.max_pages_per_trigger < 0:
-            raise ValueError("options max_pages and max_pages_per_trigger must not be negative")
+        if min(parsed.max_pages, parsed.max_pages_per_trigger, parsed.max_gap) < 0:
+            raise ValueError("options max_pages, max_pages_per_trigger and max_gap must not be negative")
         return parsed
 
     def for_endpoint(self, endpoint: str) -> Request:

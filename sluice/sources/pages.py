@@ -76,21 +76,13 @@ class PruningPageReader(PageReader):
         return False
 
 
-def read_range(options: PageOptions, partition: PageRange | None, fail: bool = False) -> Iterator:
-    """Arrow batches of raw pages. Spark passes None when there are no partitions.
-    With `fail`, a page that is neither read nor missing (404) is an error."""
+def read_range(options: PageOptions, partition: PageRange | None) -> Iterator:
+    """Arrow batches of raw pages. Spark passes None when there are no partitions."""
     if partition is None:
         return
     fetcher = Fetcher(options.rate, options.rate_capacity, partition.index, partition.count)
     request = options.for_endpoint(partition.endpoint)
-
-    def answer(page: int) -> tuple:
-        status, body, error = fetcher.page(request, page)
-        if fail and status != 404 and (error or status is None or not 200 <= status < 300):
-            raise RuntimeError(f"{partition.endpoint} page {page}: {error or f'HTTP {status}'}")
-        return partition.endpoint, page, status, body, error
-
-    yield from in_batches(answer(page) for page in partition.pages)
+    yield from in_batches((partition.endpoint, page, *fetcher.page(request, page)) for page in partition.pages)
 
 
 def in_batches(rows: Iterable[tuple]) -> Iterator:

@@ -10,13 +10,14 @@ from pyspark.sql.datasource import InputPartition
 
 @dataclass
 class PageRange(InputPartition):
-    """Pages `start_page`..`end_page` of one endpoint; range `index` of `count`."""
+    """Pages `start_page`..`end_page` of one endpoint; range `index` of `count`, in a stream's `round`."""
 
     endpoint: str
     start_page: int
     end_page: int
     index: int = 0
     count: int = 1
+    round: int = 0
 
     @property
     def pages(self) -> range:

@@ -1,6 +1,7 @@
 """Stop rules, incidents, catalogue, job, stream, sinks (P, K, C, T, S5-S6, S9, U1)."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from sluice.operators.records import decode
 from sluice.operators.sinks import page_incidents, read_records, write_json, write_records
 from sluice.plans.catalogue import catalogue_rows, history_violations, in_history_window, read_catalogue
 from sluice.plans.job import IngestFailed, run_ingest
+from sluice.sources import intervals as I
 from sluice.sources.options import PageOptions
 from sluice.sources.requests_table import plan_requests
-from sluice.sources.planner import page_ranges
+from sluice.sources.planner import PageRange, page_ranges
 from sluice.sources.readers import land
 from sluice.streaming.ingest import stream_pages, stream_to_table
 from sluice.streaming.page_stream import PageStreamReader, holds_records
@@ -176,14 +178,77 @@ def test_stream_waits_for_later_pages(spark, page_files, tmp_path):
     assert run([[1], [2], [3], [4], [5], [6]]) == [1, 2, 3, 4, 5, 6]
 
 
-def test_stream_finds_the_end():
-    reader = PageStreamReader(PageOptions.parse({"base_url": "file:/none", "max_pages": "40"}))
-    for last in range(41):
-        asked = []
-        reader.fetcher.page = lambda _, page: (asked.append(page), (200, "[1]", None) if page <= last else (200, "[]", None))[1]
-        reader.next = reader.initialOffset()
-        assert reader.latestOffset() == {"": last + 1}
-        assert len(asked) <= 14
+def page_api(reader, pages, asked):
+    """Makes `reader` ask for pages of a set in place of an API."""
+    reader.fetcher.page = lambda _, page: (asked.append(page), (200, "[1]", None) if page in pages else (200, "[]", None))[1]
+
+
+def offset(read, again="", round_=1):
+    return {"": {"read": read, "again": again, "round": round_}}
+
+
+def test_stream_finds_the_end(tmp_path):
+    for state in ({}, {"state_path": str(tmp_path / "s")}):
+        for last in range(41):
+            asked = []
+            reader = PageStreamReader(PageOptions.parse({"base_url": "file:/none", "max_pages": "40", **state}))
+            page_api(reader, set(range(1, last + 1)), asked)
+            assert reader.latestOffset() == (offset(f"1-{last}" if last > 1 else "1") if last else reader.initialOffset())
+            assert len(asked) <= (30 if state else last + 4)
+
+
+def test_stream_offsets_hold_the_gaps(tmp_path):
+    options = PageOptions.parse({"base_url": "file:/none", "max_pages": "40", "concurrency": "1", "state_path": str(tmp_path / "s")})
+    reader, there, asked = PageStreamReader(options), {1, 2, 4, 5, 6}, []
+    page_api(reader, there, asked)
+    first = reader.latestOffset()
+    assert first == offset("1-6")
+    (task,) = reader.partitions(reader.initialOffset(), first)
+    # The task notes what holds nothing; what was planned is taken back out.
+    reader.log.note(task, I.of_numbers([3]))
+    second = reader.latestOffset()
+    assert second == offset("1-2,4-6", round_=2) and reader.partitions(first, second) == []
+    assert reader.latestOffset() == second
+    there |= {3, 7}
+    third = reader.latestOffset()
+    assert third == offset("1-7", round_=3)
+    assert [(p.start_page, p.end_page) for p in reader.partitions(second, third)] == [(3, 3), (7, 7)]
+    # A page that is there when its gap is found is asked for again at once, also after a restart.
+    reader.log.note(PageRange("", 7, 7, round=3), [(7, 7)])
+    reader = PageStreamReader(options)
+    page_api(reader, there, asked)
+    fourth = reader.latestOffset()
+    assert fourth == offset("1-7", "7", 4)
+    assert [(p.start_page, p.end_page) for p in reader.partitions(third, fourth)] == [(7, 7)]
+    # Offsets of earlier versions held the next page.
+    assert [(p.start_page, p.end_page) for p in reader.partitions({"": 4}, fourth)] == [(4, 7)]
+
+
+def test_stream_delivers_a_late_page_once(spark, page_files, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run(contents, first=1):
+        base = page_files("items", contents, first)
+        stream_to_table(spark, base, out, checkpoint, endpoint="items", max_pages=20)
+        return sorted(r["page"] for r in spark.read.parquet(out).collect())
+
+    assert run([[1], [2], [], [4], [5], [6]]) == [1, 2, 4, 5, 6]
+    assert run([[]], 3) == [1, 2, 4, 5, 6]
+    assert run([[3]], 3) == [1, 2, 3, 4, 5, 6]
+    assert run([[3], [4], [5], [6], [7]], 3) == [1, 2, 3, 4, 5, 6, 7]
+    # More pages missing in a row than are looked past: the endpoint waits there.
+    assert run([[12]], 12) == [1, 2, 3, 4, 5, 6, 7]
+    assert run([[8], [9], [10], [11]], 8) == list(range(1, 13))
+
+
+def test_intervals():
+    r = random.Random(2)
+    for _ in range(300):
+        a, b = ({r.randint(0, 30) for _ in range(r.randint(0, 20))} for _ in range(2))
+        x, y = I.of_numbers(a), I.of_numbers(b)
+        assert set(I.numbers(x)) == a and I.from_text(I.to_text(x)) == x and I.count(x) == len(a)
+        assert I.minus(x, y) == I.of_numbers(a - b) and I.union(x, y) == I.of_numbers(a | b)
+    assert I.to_text([(1, 4), (6, 6)]) == "1-4,6" and I.from_text("") == [] and I.normal([(3, 1)]) == []
 
 
 def test_pages_that_hold_records():
