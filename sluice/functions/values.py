@@ -64,14 +64,22 @@ def at_path(value: Column, path: str | None) -> Column:
     return json_null_to_null(at_keys(value, path.split("."))) if path else value
 
 
+# Names of up to so many words are looked up by all ways to cut them into keys, 2 ** (words - 1).
+_CUT_WORDS = 3
+
+
 def flattened(value: Column, name: str) -> Column:
     """Leaf that flattening calls `name`, JSON null included.
 
-    A dot may part two keys or belong to one; nested keys are tried first.
+    A dot may part two keys or belong to one; nested keys are tried first. Long names are
+    resolved by the keys that the record has, one descent however many dots there are.
     """
     if name == ROOT:
         return F.coalesce(at_keys(value, [name]), F.when(~is_object(value), value))
-    return F.coalesce(*[at_keys(value, keys) for keys in _key_splits(name.split("."))])
+    words = name.split(".")
+    if len(words) > _CUT_WORDS:
+        return _descended(value, name, len(words))
+    return F.coalesce(*[at_keys(value, keys) for keys in _key_splits(words)])
 
 
 def _key_splits(words: list[str]) -> list[list[str]]:
@@ -81,6 +89,40 @@ def _key_splits(words: list[str]) -> list[list[str]]:
     return splits + [[".".join(words)]]
 
 
+def _descended(value: Column, name: str, levels: int) -> Column:
+    """The leaf `name`, found by going down the keys that begin it.
+
+    A step replaces every object reached by its members whose key begins the rest of the
+    name, the shortest key first: the walk of a trie that holds the record's keys. What is
+    found keeps its place in the list, so that the first of them is the most nested one.
+    """
+    reached = "array<struct<value:variant,rest:string>>"
+
+    def matching(found: Column) -> Column:
+        rest = found["rest"]
+
+        def members(held: Column) -> Column:
+            keys = F.filter(F.map_keys(held), lambda k: (rest == k) | rest.startswith(F.concat(k, F.lit("."))))
+            # All of them begin the same text, so that sorted is shortest first.
+            return F.transform(
+                F.array_sort(keys),
+                lambda k: F.struct(held[k].alias("value"), F.when(rest != k, F.substr(rest, F.length(k) + 2)).alias("rest")),
+            )
+
+        below = F.coalesce(F.transform(F.array(found["value"].try_cast("map<string,variant>")), members)[0], F.array().cast(reached))
+        return F.when(rest.isNull(), F.array(found)).otherwise(below)
+
+    start = F.array(F.struct(value.alias("value"), F.lit(name).alias("rest"))).cast(reached)
+    steps = F.sequence(F.lit(1), F.lit(levels))
+    found = F.aggregate(steps, start, lambda at, _: F.flatten(F.transform(at, matching)).cast(reached))
+    return F.get(F.filter(found, lambda x: x["rest"].isNull()), F.lit(0))["value"]
+
+
+def json_of(value: Column) -> Column:
+    """The value as JSON text; a float without a fraction keeps its `.0`."""
+    return F.when(kind(value).startswith("DECIMAL"), text_of(value)).otherwise(F.to_json(value))
+
+
 # ---------------------------------------------------------------- conversion
 
 

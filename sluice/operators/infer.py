@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions import values as V
-from sluice.operators.flatten import LEVELS_AT_A_TIME, leaves
+from sluice.operators.flatten import opened_by_level
 
 # The types inference can produce.
 INFERRED = {
@@ -18,39 +18,24 @@ INFERRED = {
     "string": T.StringType(),
 }
 
-# Bit of an object whose members were not looked at.
-_DEEPER = 1 << len(INFERRED)
 
-
-def column_types(
-    records: DataFrame, value: str = "value", depth: int | None = None
-) -> DataFrame:
+def column_types(records: DataFrame, value: str = "value") -> DataFrame:
     """`path`, `type`: one row per flattened path over all records.
 
     Equal types stay, long with double gives double, other mixtures give string;
-    nulls count only where nothing else is found.
+    nulls count only where nothing else is found. Each record is parsed once: what is
+    written on the way down are the kinds of leaves, and objects still to be opened.
     """
-    return _widened(_kinds(records, value, depth, strict=True)).select("path", "type")
-
+    found = opened_by_level(records, lambda leaf: {"bit": _bit(leaf)}, value)
+    # A path is a hot key by nature, but each task passes on one row per path.
+    return _widened(found.groupBy("path").agg(F.bit_or("bit").alias("kinds"))).select("path", "type")
 
-def _kinds(records: DataFrame, value: str, depth: int | None, strict: bool) -> DataFrame:
-    """The kinds found below each path as bits.
 
-    A path is a hot key by nature, but each task passes on one row per path.
-    """
+def _bit(leaf: Column) -> Column:
+    """The kind of a leaf as a bit, 0 for null."""
     bit_of_type = F.create_map(*[F.lit(x) for n, name in enumerate(INFERRED) for x in (name, 1 << n)])
     kind = F.col("_kind")
-    bit = (
-        F.when(kind == "VOID", F.lit(0))
-        .when(kind.startswith("OBJECT"), F.lit(_DEEPER))
-        .otherwise(F.element_at(bit_of_type, V.inferred_type(F.col("leaf"), kind)))
-    )
-    bits = (
-        leaves(records, value, depth=depth, strict=strict)
-        .withColumn("_kind", V.kind(F.col("leaf")))
-        .select("path", bit.alias("bit"))
-    )
-    return bits.groupBy("path").agg(F.bit_or("bit").alias("kinds"))
+    return F.when(kind == "VOID", F.lit(0)).otherwise(F.element_at(bit_of_type, V.inferred_type(leaf, kind)))
 
 
 def _widened(found: DataFrame) -> DataFrame:
@@ -62,7 +47,7 @@ def _widened(found: DataFrame) -> DataFrame:
         F.when(kinds == numbers, F.lit("double")),
         F.lit("string"),
     )
-    return found.select("path", widened.alias("type"), (kinds >= _DEEPER).alias("deeper"))
+    return found.select("path", widened.alias("type"))
 
 
 def first_record(records: DataFrame, order: Sequence[str] = ("endpoint", "page", "pos")) -> DataFrame:
@@ -78,20 +63,14 @@ def infer_schema(
 ) -> T.StructType:
     """Schema with one nullable field per path; all STRING unless `infer_types`.
 
-    One pass over the records, and another with doubled depth as long as some are
-    nested deeper. More paths than `max_columns`, if it is given, are an error: such
-    objects are maps, and belong in a declared MAP column.
+    One pass over the records, and over what is nested in them. More paths than
+    `max_columns`, if it is given, are an error: such objects are maps, and belong in a
+    declared MAP column.
     """
-    depth = LEVELS_AT_A_TIME
-    while True:
-        found = _widened(_kinds(records, value, depth, strict=False))
-        ordered = found.orderBy("path")
-        rows = (ordered if max_columns is None else ordered.limit(max_columns + 1)).collect()
-        if max_columns is not None and len(rows) > max_columns:
-            raise ValueError(f"more than {max_columns} flattened paths; declare a schema instead")
-        if not any(r["deeper"] for r in rows):
-            break
-        depth *= 2
+    ordered = column_types(records, value).orderBy("path")
+    rows = (ordered if max_columns is None else ordered.limit(max_columns + 1)).collect()
+    if max_columns is not None and len(rows) > max_columns:
+        raise ValueError(f"more than {max_columns} flattened paths; declare a schema instead")
     schema = T.StructType()
     for r in rows:
         schema.add(r["path"], INFERRED[r["type"]] if infer_types else T.StringType())

@@ -167,9 +167,22 @@ def raw_records(pages: DataFrame, name: str, body: str = "body") -> DataFrame:
 
 
 def project(records: DataFrame, schema: T.StructType | str, text: str, keep: Sequence[str] = ()) -> DataFrame:
-    """JSON text to the columns of `schema`, in its order; absent keys give null."""
-    parsed = records.select(*keep, F.from_json(F.col(text), schema).alias("_row"))
-    return parsed.select(*keep, "_row.*")
+    """JSON text to the columns of `schema`, in its order; absent keys and fields of another
+    type give null. Text that is not JSON fails the query rather than becoming nulls."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    noted = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    row = F.from_json(F.col(text), noted, {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = records.select(*keep, F.col(text).alias("_text"), row.alias("_row"))
+    # Only texts that the parser complains about are looked at again: most are bad fields.
+    wrong = F.col(f"_row.{_CORRUPT}").isNotNull() & sole(listed(F.col("_text"))).isNull()
+    failure = F.raise_error(F.concat(F.lit(f"{INVALID_JSON}: "), F.left("_text", F.lit(100))))
+    checked_row = F.when(wrong, failure).otherwise(F.col("_row")).alias("_row")
+    return parsed.select(*keep, checked_row).select(*keep, *[F.col(f"_row.`{n}`") for n in schema.names])
+
+
+# Field in which the parser leaves texts that it could not read.
+_CORRUPT = "_unreadable"
 
 
 def project_values(

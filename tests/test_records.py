@@ -1,13 +1,15 @@
 """Record shaping: envelopes, raw records, flattening, projection."""
 
 import json
+import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
+from sluice.functions import values as V
 from sluice.operators import records as R
-from sluice.operators.flatten import flatten_long, flatten_struct, leaves, nesting_depth
+from sluice.operators.flatten import flatten_long, flatten_struct, leaves
 
 ENVELOPES = {
     "[1,{\"a\":2}]": ["1", '{"a":2}'],
@@ -129,9 +131,15 @@ def test_flatten_never_loses_depth(values):
         nested = '{"a":' + nested + "}"
     with pytest.raises(Exception, match="nested deeper than 8 levels"):
         long_form(values, nested, depth=8)
-    assert nesting_depth(values(nested)) == 16
-    assert long_form(values, nested) == long_form(values, nested, depth=16) == {".".join("a" * 9): "1"}
-    assert nesting_depth(values('{"a":{}}', "7")) == 8
+    assert long_form(values, nested) == long_form(values, nested, depth=9) == {".".join("a" * 9): "1"}
+
+
+def test_flatten_opens_as_deep_as_needed(values):
+    deep = '{"x":2.0,"a":' * 20 + "null" + "}" * 20
+    found = long_form(values, deep)
+    assert found == {".".join(["a"] * n + ["x"]): "2.0" for n in range(20)} | {".".join("a" * 20): "null"}
+    rows = flatten_long(values('{"a":{"b":1}}', "7", '{"a":{}}', "{}", "not json", '{"a":{"b":{"c":[]}}}'), keep=("n",)).collect()
+    assert sorted((r["n"], r["path"], r["value_json"]) for r in rows) == [(0, "a.b", "1"), (1, "_value", "7"), (5, "a.b.c", "[]")]
 
 
 def test_wide_and_long_agree(spark, values):
@@ -152,6 +160,51 @@ def test_dotted_and_duplicate_names(values):
     assert R.project_values(values(text), schema).first().asDict() == {"a.b": 1, "p.q.r": 2, "x": 3}
 
 
+def test_long_names(values):
+    """Names of many words: all ways to cut them, against a plain walk."""
+    words = "abcdefghijklmnop"
+    name = ".".join(words)
+
+    def plain(value, rest):
+        if rest is None:
+            return [value]
+        keys = sorted(k for k in value if rest == k or rest.startswith(k + ".")) if isinstance(value, dict) else []
+        return [x for k in keys for x in plain(value[k], None if rest == k else rest[len(k) + 1 :])]
+
+    r = random.Random(8)
+
+    def record(at=0):
+        if at == len(words):
+            return r.choice([1, 2, None, {"z": 1}])
+        ends = r.sample(range(at + 1, len(words) + 1), k=min(len(words) - at, r.choice([1, 1, 2])))
+        return {".".join(words[at:e]): record(e) if r.random() < 0.9 else r.choice([5, [1], {}]) for e in ends}
+
+    records = [record() for _ in range(60)] + [{name: 1}, {}, 5, {"a": 1, name: 2}, {"a": {".".join(words[1:]): None}, name: 2}]
+    df = values(*[json.dumps(x) for x in records]).select("n", F.to_json(V.flattened(F.col("value"), name)).alias("v"))
+    found = {row["n"]: row["v"] for row in df.collect()}
+    assert [found[n] and json.loads(found[n]) for n in range(len(records))] == [next(iter(plain(x, name)), None) for x in records]
+    assert found[61] is None and found[64] == "null" and found[60] == "1"
+
+
+def test_one_column_for_each_name(spark):
+    df = spark.createDataFrame([((1, (2, "x")),), ((3, (None, None)),)], "r STRUCT<`a.b`: INT, a: STRUCT<b: INT, c: STRING>>")
+    flat = flatten_struct(df.select("r.*"))
+    assert flat.columns == ["a.b", "a.c"] and sorted(tuple(r)[0] for r in flat.collect()) == [2, 3]
+    nested = flatten_struct(df.select("r"))
+    assert nested.columns == ["r.a.b", "r.a.c"] and sorted(r["r.a.b"] for r in nested.collect()) == [2, 3]
+    mixed = flatten_struct(spark.sql("SELECT struct('t' AS `a.b`, struct(CAST(null AS INT) AS b) AS a) AS r"))
+    assert mixed.columns == ["r.a.b"] and mixed.first()[0] == "t"
+
+
+def test_unreadable_text_is_no_row_of_nulls(spark):
+    schema = "id INT, tags ARRAY<INT>"
+    good = spark.createDataFrame([('{"id":1}',), ('{"id":"x","tags":[1]}',), (None,), ("{}",)], "r STRING")
+    assert [tuple(r) for r in R.project(good, schema, "r").collect()] == [(1, None), (None, [1]), (None, None), (None, None)]
+    for text in ("<html>", '{"id":1', "nothing"):
+        with pytest.raises(Exception, match="invalid JSON"):
+            R.project(spark.createDataFrame([(text,)], "r STRING"), schema, "r").collect()
+
+
 def test_projection_and_union(spark):
     posts = spark.createDataFrame([('{"id":1,"title":"t","more":2}',), ("{}",)], "r STRING").coalesce(1)
     rows = R.project(posts, "userId INT, id INT, title STRING, body STRING", "r").collect()
@@ -162,5 +215,5 @@ def test_projection_and_union(spark):
 
 
 def test_leaves_read_the_input_once(values):
-    plan = leaves(values('{"a":1}'), keep=("n",))._jdf.queryExecution().optimizedPlan().toString()
+    plan = leaves(values('{"a":1}'), keep=("n",), depth=4)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
