@@ -72,7 +72,7 @@ def byte_values(data: np.ndarray) -> np.ndarray:
 
 
 # Values hashed at once by `rolling`.
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 17
 
 
 def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _STEP) -> np.ndarray:

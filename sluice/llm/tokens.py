@@ -17,9 +17,9 @@ import numpy as np
 
 from sluice.llm.text import Texts, byte_values, rolling
 
-SLOT_BITS = 21
+SLOT_BITS = 20
 # Ids kept by a worker; beyond it the table starts anew.
-KEPT_IDS = 12_000_000
+KEPT_IDS = 4_000_000
 # Texts are encoded in slices of so many bytes.
 ENCODE_SLICE = 1 << 20
 
@@ -47,6 +47,15 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for `size` values, by at least a half more if it has to grow."""
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, len(array) * 3 // 2), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 class Encoder:
     """Encodes many texts at once; one per worker and vocabulary file."""
 
@@ -70,8 +79,21 @@ class Encoder:
     def _clear(self) -> None:
         self.key = np.zeros(1 << SLOT_BITS, np.uint64)
         self.place = np.full(1 << SLOT_BITS, -1, np.int32)
-        self.edges = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        # Growing arrays: their first `pieces` + 1 edges and `held` ids are in use.
+        self.edges = np.zeros(1 << 16, np.int64)
+        self.ids = np.zeros(1 << 18, np.uint32)
+        self.pieces = self.held = 0
+
+    def _keep(self, lists: list[list[int]]) -> np.ndarray:
+        """Adds the ids of new pieces; their numbers."""
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        first, total = self.pieces, self.held + int(sizes.sum())
+        self.edges = _grown(self.edges, first + len(lists) + 1)
+        self.ids = _grown(self.ids, total)
+        self.edges[first + 1 : first + len(lists) + 1] = self.held + np.cumsum(sizes)
+        self.ids[self.held : total] = np.fromiter((i for x in lists for i in x), np.uint32, total - self.held)
+        self.pieces, self.held = first + len(lists), total
+        return np.arange(first, self.pieces)
 
     def _piece(self, piece: bytes) -> list[int]:
         text = piece.decode()
@@ -100,7 +122,7 @@ class Encoder:
         starts = np.flatnonzero(cut[:n])
         ends = np.append(starts[1:], n) if len(starts) else starts
         keys = rolling(byte_values(data), starts, ends)
-        if len(self.ids) > KEPT_IDS:
+        if self.held > KEPT_IDS:
             self._clear()
         slot = (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         place = np.where(self.key[slot] == keys, self.place[slot], -1)
@@ -109,10 +131,7 @@ class Encoder:
             new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
             at = missing[first]
             lists = [self._piece(data[s:e].tobytes()) for s, e in zip(starts[at].tolist(), ends[at].tolist())]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            added = np.arange(len(self.edges) - 1, len(self.edges) - 1 + len(new))
-            self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))])
+            added = self._keep(lists)
             self.key[slot[at]], self.place[slot[at]] = new, added
             place[missing] = added[which]
         sizes = self.edges[place + 1] - self.edges[place]
