@@ -1,4 +1,4 @@
-"""Declared schemas: a JSON document to a StructType."""
+"""Declared schemas: a JSON document to a StructType, by way of Spark's own schema JSON."""
 
 from __future__ import annotations
 
@@ -6,30 +6,40 @@ import json
 
 from pyspark.sql import types as T
 
-# Type names a schema document may use.
+# Type names a schema document may use, and what Spark's schema JSON calls them.
 TYPE_NAMES = {
-    "string": T.StringType(),
-    "integer": T.IntegerType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "short": T.ShortType(),
-    "byte": T.ByteType(),
-    "float": T.FloatType(),
-    "double": T.DoubleType(),
-    "boolean": T.BooleanType(),
-    "binary": T.BinaryType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "null": T.NullType(),
-    "daytimeinterval": T.DayTimeIntervalType(),
-    "yearmonthinterval": T.YearMonthIntervalType(),
-    "variant": T.VariantType(),
+    "string": "string",
+    "integer": "integer",
+    "int": "integer",
+    "long": "long",
+    "short": "short",
+    "byte": "byte",
+    "float": "float",
+    "double": "double",
+    "boolean": "boolean",
+    "binary": "binary",
+    "date": "date",
+    "timestamp": "timestamp",
+    "null": "void",
+    "daytimeinterval": "interval day to second",
+    "yearmonthinterval": "interval year to month",
+    "variant": "variant",
+}
+
+# Members of Spark's JSON that are types themselves, and those that may be left out.
+_TYPES_WITHIN = ("elementType", "keyType", "valueType")
+_DEFAULTS = {
+    "field": {"nullable": True, "metadata": {}},
+    "array": {"containsNull": True},
+    "map": {"valueContainsNull": True},
+    "decimal": {"precision": 10, "scale": 0},
 }
 
 
 def schema_from(document: str | dict) -> T.StructType:
     """StructType of a document `{"fields": [{"name", "type", "nullable"}, ..]}`."""
-    return _struct(json.loads(document) if isinstance(document, str) else document)
+    parsed = json.loads(document) if isinstance(document, str) else document
+    return T.StructType.fromJson(_spark_json({"type": "struct", "fields": parsed["fields"]}))
 
 
 def schema_from_file(path: str) -> T.StructType:
@@ -37,27 +47,25 @@ def schema_from_file(path: str) -> T.StructType:
         return schema_from(f.read())
 
 
-def _struct(node: dict) -> T.StructType:
-    result = T.StructType()
-    for f in node["fields"]:
-        result.add(f["name"], data_type(f["type"]), f.get("nullable", True))
-    return result
-
-
 def data_type(node: str | dict) -> T.DataType:
     """A type name, or an object whose `type` is a name, struct, array, map or decimal."""
-    name = (node if isinstance(node, str) else node.get("type", "")).lower()
-    if name in TYPE_NAMES:
-        return TYPE_NAMES[name]
-    if isinstance(node, dict):
-        match name:
-            case "struct":
-                return _struct(node)
-            case "array":
-                return T.ArrayType(data_type(node["elementType"]), node.get("containsNull", True))
-            case "map":
-                key, value = data_type(node["keyType"]), data_type(node["valueType"])
-                return T.MapType(key, value, node.get("valueContainsNull", True))
-            case "decimal":
-                return T.DecimalType(node.get("precision", 10), node.get("scale", 0))
-    raise ValueError(f"Unsupported type: {node}")
+    return T.StructType.fromJson(_spark_json({"type": "struct", "fields": [{"name": "v", "type": node}]}))["v"].dataType
+
+
+def _spark_json(node: str | dict) -> str | dict:
+    """A type of the document as Spark writes it."""
+    kind = (node.get("type", "") if isinstance(node, dict) else node).lower()
+    if kind in TYPE_NAMES:
+        return TYPE_NAMES[kind]
+    if not isinstance(node, dict) or kind not in ("struct", "array", "map", "decimal"):
+        raise ValueError(f"Unsupported type: {node}")
+    full = _DEFAULTS.get(kind, {}) | node | {"type": kind}
+    if kind == "decimal":
+        return f"decimal({full['precision']},{full['scale']})"
+    if kind == "struct":
+        return {"type": kind, "fields": [_spark_field(f) for f in node["fields"]]}
+    return {m: _spark_json(v) if m in _TYPES_WITHIN else v for m, v in full.items()}
+
+
+def _spark_field(field: dict) -> dict:
+    return _DEFAULTS["field"] | {"name": field["name"], "type": _spark_json(field["type"])} | {"nullable": field.get("nullable", True)}

@@ -35,7 +35,13 @@ def test_first_record(values):
 
 
 def test_declared_types():
-    for name, expected in TYPE_NAMES.items():
+    simple = {
+        "string": T.StringType(), "integer": T.IntegerType(), "int": T.IntegerType(), "long": T.LongType(), "short": T.ShortType(),
+        "byte": T.ByteType(), "float": T.FloatType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "binary": T.BinaryType(),
+        "date": T.DateType(), "timestamp": T.TimestampType(), "null": T.NullType(), "daytimeinterval": T.DayTimeIntervalType(),
+        "yearmonthinterval": T.YearMonthIntervalType(), "variant": T.VariantType()}
+    assert set(simple) == set(TYPE_NAMES)
+    for name, expected in simple.items():
         assert data_type(name) == data_type(name.upper()) == data_type({"type": name}) == expected
     assert data_type({"type": "decimal"}) == T.DecimalType(10, 0)
     assert data_type({"type": "array", "elementType": "int"}) == T.ArrayType(T.IntegerType(), True)
