@@ -29,22 +29,25 @@ _EDGE, _DIGEST = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
 REPEATED, ONE_BEFORE, ONE_AFTER = 1, 2, 4
 
 
-def _minima(words: Words, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows inside one row: their first words and seeds."""
-    at = np.flatnonzero(words.within(size))
-    return at, sliding(grams(words.hash, seed), size - seed + 1)[at]
+def _windows(docs: bytes, text: str, key: str, size: int, seed: int) -> list[tuple[np.ndarray, Words, np.ndarray, np.ndarray]]:
+    """The words of a chunk, cut once: per part the documents' ids, the words, and the first
+    words and seeds of the windows inside one row. A chunk's size bounds what is held."""
+    found = []
+    for part, texts in texts_of(docs, text):
+        words = texts.words()
+        at = np.flatnonzero(words.within(size))
+        found.append((doc_ids(part, key), words, at, sliding(grams(words.hash, seed), size - seed + 1)[at]))
+    return found
 
 
-def _seeds(docs: bytes, text: str, key: str, size: int, seed: int) -> np.ndarray:
+def _seeds(windows: list) -> np.ndarray:
     """The distinct seeds of each document."""
     found = []
-    for part, texts in texts_of(docs, text):
-        words = texts.words()
-        at, low = _minima(words, size, seed)
+    for own, words, at, low in windows:
         row = words.row[at]
         new = np.ones(len(at), bool)
         new[1:] = (low[1:] != low[:-1]) | (row[1:] != row[:-1])
-        ids = doc_ids(part, key)[row[new]]
+        ids = own[row[new]]
         pairs = np.unique(np.rec.fromarrays([low[new], ids], names="low,id")) if new.any() else None
         if pairs is not None:
             found.append((pairs["low"], pairs["id"]))
@@ -58,24 +61,24 @@ def _seeds(docs: bytes, text: str, key: str, size: int, seed: int) -> np.ndarray
     return low[new]
 
 
-def _edges(docs: bytes, text: str, key: str, size: int, seed: int, repeated: np.ndarray):
-    """Candidate windows of a chunk: part, words, first words, edge keys."""
-    for part, texts in texts_of(docs, text):
-        words = texts.words()
-        at, low = _minima(words, size, seed)
+def _edges(windows: list, size: int, repeated: np.ndarray) -> list[tuple[np.ndarray, Words, np.ndarray, np.ndarray]]:
+    """Candidate windows of a chunk: the documents' ids, words, first words, edge keys."""
+    found = []
+    for own, words, at, low in windows:
         at = at[is_in(low, repeated)]
-        yield part, words, at, grams(words.hash, size, _EDGE)[at]
+        found.append((own, words, at, grams(words.hash, size, _EDGE)[at]))
+    return found
 
 
 def _neighbours(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words before and after each window as 32-bit marks; 0 where the document ends."""
-    mark = (words.hash >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    before = np.where(at > words.edges[words.row[at]], mark[np.maximum(at - 1, 0)], 0)
-    after = np.where(at + size < words.edges[words.row[at] + 1], mark[np.minimum(at + size, len(words) - 1)], 0)
-    return before.astype(np.uint32), after.astype(np.uint32)
+    """The hashes of the words before and after each window; 0 where the document ends."""
+    none = np.uint64(0)
+    before = np.where(at > words.edges[words.row[at]], words.hash[np.maximum(at - 1, 0)], none)
+    after = np.where(at + size < words.edges[words.row[at] + 1], words.hash[np.minimum(at + size, len(words) - 1)], none)
+    return before, after
 
 
-_ENTRY = np.dtype([("edge", "u8"), ("least", "i8"), ("most", "i8"), ("before", "u4"), ("after", "u4")])
+_ENTRY = np.dtype([("edge", "u8"), ("least", "i8"), ("most", "i8"), ("before", "u8"), ("after", "u8")])
 
 
 def _merged(entries: np.ndarray) -> np.ndarray:
@@ -93,16 +96,19 @@ def _merged(entries: np.ndarray) -> np.ndarray:
 
 
 def _columns(entries: np.ndarray) -> bytes:
-    """Column by column, which compresses better than row by row."""
-    return b"".join(np.ascontiguousarray(entries[n]).tobytes() for n in _ENTRY.names)
+    """Column by column and byte by byte, with `most` as what it adds to `least`: bytes that
+    are mostly zero lie together and compress to next to nothing."""
+    entries = entries.copy()
+    entries["most"] -= entries["least"]
+    return b"".join(np.ascontiguousarray(entries[n]).view(np.uint8).reshape(-1, 8).T.tobytes() for n in _ENTRY.names)
 
 
 def _entries(packed: bytes) -> np.ndarray:
-    n, at = len(packed) // _ENTRY.itemsize, 0
-    out = np.empty(n, _ENTRY)
-    for name in _ENTRY.names:
-        out[name] = np.frombuffer(packed, _ENTRY[name], n, at)
-        at += n * _ENTRY[name].itemsize
+    planes = np.frombuffer(packed, np.uint8).reshape(len(_ENTRY.names), 8, -1)
+    out = np.empty(planes.shape[2], _ENTRY)
+    for name, bytes_of in zip(_ENTRY.names, planes):
+        out[name] = np.ascontiguousarray(bytes_of.T).view(_ENTRY[name]).ravel()
+    out["most"] += out["least"]
     return out
 
 
@@ -138,39 +144,40 @@ def repeated_paths(chunks: DataFrame, key: str = "doc_id", text: str = "text", s
     def ask_seeds(batches):
         for batch in batches:
             for chunk, docs in zip(batch.column("chunk").to_pylist(), batch.column("docs")):
-                yield seed_asks(chunk, _seeds(docs.as_py(), text, key, size, seed), buckets)
+                yield seed_asks(chunk, _seeds(_windows(docs.as_py(), text, key, size, seed)), buckets)
 
     seeds = exchange(chunks.mapInArrow(ask_seeds, ASK), repeated_keys, "seeds")
 
-    def candidates(docs: bytes, replies: dict[int, bytes]):
-        repeated = repeated_seeds(_seeds(docs, text, key, size, seed), buckets, replies)
-        return _edges(docs, text, key, size, seed, repeated)
+    def candidates(docs: bytes, replies: dict[int, bytes]) -> list:
+        windows = _windows(docs, text, key, size, seed)
+        return _edges(windows, size, repeated_seeds(_seeds(windows), buckets, replies))
 
-    def merged(docs: bytes, replies: dict[int, bytes]) -> np.ndarray:
+    def merged(candidates: list) -> np.ndarray:
         found = []
-        for part, words, at, edge in candidates(docs, replies):
+        for ids, words, at, edge in candidates:
             own = np.empty(len(at), _ENTRY)
-            own["edge"], own["least"] = edge, doc_ids(part, key)[words.row[at]]
+            own["edge"], own["least"] = edge, ids[words.row[at]]
             own["most"] = own["least"]
             own["before"], own["after"] = _neighbours(words, at, size)
             found.append(_merged(own))
         return _merged(np.concatenate(found)) if found else np.empty(0, _ENTRY)
 
     def ask_edges(chunk, docs, replies):
-        entries = merged(docs, replies[0])
+        entries = merged(candidates(docs, replies[0]))
         yield asks(chunk, entries["edge"], buckets, lambda at: _columns(entries[at]))
 
     edges = exchange(with_replies(chunks, [seeds], ask_edges, ASK), _judge_edges, "edges")
 
     def traverse(chunk, docs, replies):
-        entries = merged(docs, replies[0])
-        flags = in_order(entries["edge"], buckets, replies[1], np.uint8)
-        for i, (part, words, at, edge) in enumerate(candidates(docs, replies[0])):
-            first, n = _paths(words, at, flags[np.searchsorted(entries["edge"], edge)], size)
+        found = candidates(docs, replies[0])
+        edges_of = np.unique(np.concatenate([edge for *_, edge in found])) if found else np.zeros(0, np.uint64)
+        flags = in_order(edges_of, buckets, replies[1], np.uint8)
+        for i, (ids, words, at, edge) in enumerate(found):
+            first, n = _paths(words, at, flags[np.searchsorted(edges_of, edge)], size)
             row = words.row[first]
             yield batch_of(
                 chunk=pa.array(np.full(len(first), chunk, np.int64)), part=pa.array(np.full(len(first), i), pa.int32()),
-                row=pa.array(row, pa.int32()), start=first - words.edges[row], n=n, doc=doc_ids(part, key)[row],
+                row=pa.array(row, pa.int32()), start=first - words.edges[row], n=n, doc=ids[row],
                 high=rolling(words.hash, first, first + n, _DIGEST).view(np.int64),
                 low=rolling(words.hash, first, first + n).view(np.int64),
             )
@@ -180,9 +187,14 @@ def repeated_paths(chunks: DataFrame, key: str = "doc_id", text: str = "text", s
 
 def repeated_spans(paths: DataFrame) -> DataFrame:
     """Traversals whose words also stand in a document of a smaller id, with that source:
-    the least document and the start there."""
+    the least document and the start there.
+
+    The sources are written before they are joined, so that the join shuffles both of its sides
+    itself and adaptive execution can split a path that very many documents traverse.
+    """
     name = ["high", "low", "n"]
-    sources = paths.groupBy(*name).agg(F.min(F.struct("doc", "start")).alias("source"))
+    first = paths.groupBy(*name).agg(F.min(F.struct("doc", "start")).alias("source"), F.max("doc").alias("most"))
+    sources = landed(first.where("most > source.doc").select(*name, "source"), "sources")
     return paths.join(sources, name).where("doc > source.doc").select("chunk", "part", "row", "start", "n", "source")
 
 

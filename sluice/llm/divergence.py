@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluice.llm.components import landed
@@ -59,7 +60,7 @@ def _counts(batches):
             terms, row = term_runs(Texts(part.column("text")))
             if not len(row):
                 continue
-            group = pa.compute.binary_join_element_wise(part.column("lang"), part.column("source"), "\0").dictionary_encode()
+            group = pc.binary_join_element_wise(part.column("lang"), part.column("source"), "\0").dictionary_encode()
             of_row = group.indices.to_numpy()
             term, size = terms.indices.to_numpy().astype(np.int64), len(terms.dictionary)
             key, n = np.unique(of_row[row] * size + term, return_counts=True)

@@ -8,9 +8,11 @@ longest single text, never the batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE = 1 << 20
 
@@ -164,11 +166,14 @@ class Words:
         self.start = np.flatnonzero(held[1:] & (~held[:-1] | first))
         self.end = np.flatnonzero(held[:-1] & (~held[1:] | first))
         self.row = np.searchsorted(texts.offsets, self.start, "right") - 1
-        self.hash = rolling(_BYTE[data], self.start, self.end)
         # First word of each row, and one past the last.
         self.edges = np.searchsorted(self.row, np.arange(len(texts) + 1))
         self.data = data
 
+    @cached_property
+    def hash(self) -> np.ndarray:
+        return rolling(_BYTE[self.data], self.start, self.end)
+
     def __len__(self) -> int:
         return len(self.start)
 
@@ -187,12 +192,12 @@ class Words:
         return b" ".join([self.data[s:e].tobytes() for s, e in zip(self.start[at].tolist(), self.end[at].tolist())])
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Cut a batch where its texts reach `size` bytes; a longer text is a slice of its own."""
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch where its texts reach `size` bytes, or `rows` if given; a longer text is a slice of its own."""
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     total, first = 0, 0
     for i, n in enumerate(lengths.tolist()):
-        if i > first and total + n > size:
+        if i > first and (total + n > size or i - first == rows):
             yield batch.slice(first, i - first)
             total, first = 0, i
         total += n
@@ -200,12 +205,12 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa
         yield batch.slice(first)
 
 
-def by_slice(column: str, work: Callable[[pa.RecordBatch, Texts], pa.RecordBatch | None]):
-    """A function for mapInArrow that applies `work` to each slice."""
+def by_slice(column: str, work: Callable[[pa.RecordBatch, Texts], pa.RecordBatch | None], rows: int | None = None):
+    """A function for mapInArrow that applies `work` to each slice, of at most `rows` rows if given."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, rows=rows):
                 out = work(part, Texts(part.column(column)))
                 if out is not None and out.num_rows:
                     yield out
