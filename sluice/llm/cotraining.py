@@ -223,8 +223,10 @@ def train(
             weights = _newton(used, weights, teachers, confident, share)
     own = table.where("held_out AND label IS NOT NULL")
     fraction = min(1.0, calibration_rows / max(1, own.count()))
-    chosen = own.where(F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 20)) < F.lit(math.ceil(fraction * (1 << 20))))
-    rows = chosen.select("content", "metadata", "label").limit(calibration_rows).collect()
+    # A few more than asked for, then the first by their hash: the same rows in every run.
+    order = F.xxhash64(key, F.lit(1))
+    chosen = own.where(F.pmod(order, F.lit(1 << 20)) < F.lit(math.ceil(1.1 * fraction * (1 << 20))))
+    rows = chosen.orderBy(order, key).select("content", "metadata", "label").limit(calibration_rows).collect()
     y = np.array([r[2] for r in rows])
     logits = [np.array([r[i] for r in rows], np.float64).reshape(-1, n) @ w for i, (n, w) in enumerate(zip((CONTENT, METADATA), weights))]
     calibrations = [tuple(fit_logistic(np.stack([z, np.ones(len(z))], axis=1), y, np.array([1.0, 0.0]))) for z in logits]

@@ -31,6 +31,8 @@ ROWS, BANDS = 6, 42
 BINS = ROWS * BANDS
 SKETCH = 256
 SECOND_STARS = 4
+# Rows signed at once: a signature and its scratch arrays take some 20 KB a row.
+SIGNED_ROWS = 512
 SKETCHES = [f"sketch_{i}" for i in range(SKETCH // 64)]
 
 _EMPTY = np.iinfo(np.uint64).max
@@ -101,7 +103,7 @@ def _signed(size: int, fold: bool):
             **{name: np.ascontiguousarray(bits[:, i]) for i, name in enumerate(SKETCHES)},
         )
 
-    return by_slice("text", work)
+    return by_slice("text", work, SIGNED_ROWS)
 
 
 def _packed(batches):
@@ -174,8 +176,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     # Equal keys with several texts, and equal texts, are linked without a look.
     given = signed.where("n > 0 AND doc IS NOT NULL").join(sets.select(*same, "rep"), same).where("doc <> rep").select("doc", "rep")
 
+    # Aggregates are written before they are joined with their own table, so that the join
+    # shuffles both sides itself and adaptive execution can split a bucket of many documents.
     opened = sets.select(F.col("rep").alias("doc"), "n", F.explode("bands").alias("band"))
-    stars = opened.groupBy("band").agg(F.min(F.struct("doc", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1")
+    stars = landed(opened.groupBy("band").agg(F.min(F.struct("doc", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1"), "stars-of-buckets")
     buckets = landed(opened.join(stars, "band").select("band", "doc", "n", "hub", "members"), "buckets")
     active = buckets.select("doc").distinct()
     bodies = landed(texts.where("doc IS NOT NULL").mapInArrow(_packed, f"doc {kind}, size int, packed binary").join(active, "doc", "left_semi").dropDuplicates(["doc", "packed"]), "bodies")
@@ -196,8 +200,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
             "band", "doc", "n", "members", F.coalesce("component", "doc").alias("component")
         )
         parts = named.groupBy("band", "component").agg(F.count("*").alias("size"))
-        main = parts.groupBy("band").agg(F.max_by("component", "size").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-        open_buckets = landed(named.join(main.select("band", "main"), "band").join(marks, ["doc", "n"]), "open")
+        most = F.max_by("component", F.struct("size", "component"))
+        main = landed(parts.groupBy("band").agg(most.alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "main"), "main")
+        open_buckets = landed(named.join(main, "band").join(marks, ["doc", "n"]), "open")
         # Hubs are chosen by chance first, of all that are outside the largest component last.
         chance = F.pmod(F.xxhash64("doc"), F.lit(1 << 30)) * F.col("members") < F.lit(SECOND_STARS << 30)
         hubs = open_buckets.where(F.col("component") != F.col("main") if last else chance).select(*of_hub)
