@@ -1,15 +1,17 @@
 """Quality classification by co-training two views of a document.
 
-One classifier sees the text alone, the other the page's metadata (language, source,
-declared size, layout). Both learn from the labelled rows; then, for some rounds, each
+One classifier sees the text alone: the shapes of its words, and how its words and byte
+4-grams, hashed, are distributed over good and bad labelled texts (the lexicon: smoothed
+log-odds, so that what no labelled text holds speaks for the rarer class). The other sees
+the page's metadata alone (language, source, declared size). Both learn from the labelled rows; then, for some rounds, each
 also learns from unlabelled rows that the other is confident about. At the end both
 views are calibrated on labelled rows kept out of training, combined, and every document
 is scored.
 
 Both are logistic regressions fitted by Newton steps. A step is one pass of the feature
 table in which tasks add up gradients and curvatures of fixed size, so all labelled and
-all confident unlabelled rows count, however many. Only sums reach the driver, and, for
-the calibration, at most `CALIBRATION_ROWS` labelled rows of a few numbers each.
+all confident unlabelled rows count, however many. Only sums reach the driver, among them the
+lexicon's counts in `GRAMS` + `TERMS` classes, and, for the calibration, at most `CALIBRATION_ROWS` labelled rows of a few numbers each.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.components import landed
-from sluice.llm.text import WORD, Texts, Words, batch_of, by_slice, ids_of, per_row
+from sluice.llm.text import WORD, Texts, Words, batch_of, by_slice, byte_values, grams, per_row, slices
 
 ROUNDS = 2
 CONFIDENT = 0.97
@@ -32,22 +34,65 @@ FIRST_STEPS, ROUND_STEPS = 6, 3
 CALIBRATION_ROWS = 20_000
 RIDGE = 1.0
 LANGUAGES, SOURCES = 8, 32
+GRAM, GRAMS, TERMS = 4, 1 << 16, 1 << 16
 
-_upper, _lower, _digit, _mark, _line, _tail = (np.zeros(256, bool) for _ in range(6))
+_upper, _lower, _digit, _mark, _tail = (np.zeros(256, bool) for _ in range(5))
 _upper[ord("A") : ord("Z") + 1] = True
 _lower[ord("a") : ord("z") + 1] = True
 _digit[ord("0") : ord("9") + 1] = True
 _mark[[x for x in range(0x21, 0x7F) if not chr(x).isalnum()]] = True
-_line[10] = True
 _tail[[ord(c) for c in ".,;:!?"]] = True
 
-CONTENT = 14
-METADATA = 6 + LANGUAGES + SOURCES
+CONTENT = 18
+METADATA = 3 + LANGUAGES + SOURCES
 
 
-def content_features(texts: Texts) -> np.ndarray:
-    """Shares and sizes of characters and words of each text; the last column is 1."""
+def _terms(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and classes of all byte 4-grams inside a text, and of all its words after them."""
+    names = grams(byte_values(texts.data), GRAM)
+    row = np.repeat(np.arange(len(texts)), np.diff(texts.offsets))[: len(names)]
+    inside = np.arange(len(names)) + GRAM <= texts.offsets[row + 1]
+    return row[inside], (names[inside] % np.uint64(GRAMS)).astype(np.int64), words.row, (words.hash % np.uint64(TERMS)).astype(np.int64) + GRAMS
+
+
+def lexicon_of(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:
+    """Smoothed log-odds of good against bad for each class of 4-grams and words, counted over all
+    labelled rows that are not held out; zeros without labels."""
+    known = _known(labels, key, label).where(~_held(key))
+    texts = docs.select(F.col(key), F.col(text)).join(known, key).select(text, "label")
+
+    def work(batches):
+        total = np.zeros((GRAMS + TERMS, 2))
+        for batch in batches:
+            for part in slices(batch, text):
+                own = Texts(part.column(text))
+                good = part.column("label").to_numpy(zero_copy_only=False)
+                found = _terms(own, own.words())
+                for row, kind in (found[:2], found[2:]):
+                    total[:, 0] += np.bincount(kind, good[row], GRAMS + TERMS)
+                    total[:, 1] += np.bincount(kind, 1 - good[row], GRAMS + TERMS)
+        at = np.flatnonzero(total.sum(axis=1))
+        yield batch_of(slot=pa.array(at, pa.int32()), good=total[at, 0], bad=total[at, 1])
+
+    counts = np.zeros((GRAMS + TERMS, 2))
+    for batch in texts.mapInArrow(work, "slot int, good double, bad double").groupBy("slot").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toArrow().to_batches():
+        counts[batch.column("slot").to_numpy(zero_copy_only=False)] = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("good", "bad")], axis=1)
+    odds = np.zeros(GRAMS + TERMS)
+    for kinds in (slice(0, GRAMS), slice(GRAMS, None)):
+        share = (counts[kinds] + 1) / (counts[kinds] + 1).sum(axis=0)
+        odds[kinds] = np.clip(np.log(share[:, 0] / share[:, 1]), -4, 4)
+    return odds.astype(np.float32)
+
+
+def content_features(texts: Texts, lexicon: np.ndarray) -> np.ndarray:
+    """Shares and sizes of characters and words of each text, and the mean log-odds of its 4-grams
+    and words with the share of each that speaks against it; the last column is 1."""
     words = Words(texts, WORD, None)
+    lexical = []
+    found = _terms(texts, words)
+    for row, kind in (found[:2], found[2:]):
+        odds, many = lexicon[kind], np.maximum(np.bincount(row, minlength=len(texts)), 1)
+        lexical += [np.bincount(row, odds, len(texts)) / many, np.bincount(row, odds < -0.5, len(texts)) / many]
     data, offsets = texts.data, texts.offsets
     size = np.maximum(np.diff(offsets), 1)
     upper, lower, digit, mark = (per_row(c[data], offsets) for c in (_upper, _lower, _digit, _mark))
@@ -79,24 +124,19 @@ def content_features(texts: Texts) -> np.ndarray:
         np.log1p(per_row(mark, np.arange(len(texts) + 1))) / 10,
         (n < 20).astype(float),
         (n == 0).astype(float),
+        *lexical,
         np.ones(len(texts)),
     ]
     return np.stack(columns, axis=1).astype(np.float32)
 
 
-def metadata_features(lang: pa.Array, source: pa.Array, n_chars: pa.Array, texts: Texts) -> np.ndarray:
-    """Size, layout, and hashed language and source of each page; the last column is 1."""
-    rows = len(texts)
-    out = np.zeros((rows, METADATA), np.float32)
+def metadata_features(lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> np.ndarray:
+    """Declared size, and hashed language and source of each page; the last column is 1."""
+    out = np.zeros((len(lang), METADATA), np.float32)
     stated = n_chars.cast(pa.float64()).fill_null(-1).to_numpy(zero_copy_only=False)
-    size = np.diff(texts.offsets)
-    lines = per_row(_line[texts.data], texts.offsets) + 1
     out[:, 0] = np.log1p(np.maximum(stated, 0)) / 10
     out[:, 1] = stated < 0
-    out[:, 2] = np.log1p(lines) / 5
-    out[:, 3] = np.log1p(size / lines) / 5
-    out[:, 4] = np.log1p(size) / 10
-    for column, first, buckets in ((lang, 5, LANGUAGES), (source, 5 + LANGUAGES, SOURCES)):
+    for column, first, buckets in ((lang, 2, LANGUAGES), (source, 2 + LANGUAGES, SOURCES)):
         values = column.cast(pa.string()).dictionary_encode()
         places = np.array([zlib.crc32(v.encode()) % buckets for v in values.dictionary.to_pylist()] + [-1], np.int64)
         at = places[values.indices.fill_null(len(places) - 1).to_numpy(zero_copy_only=False)]
@@ -171,10 +211,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray, ridge: float =
 
 
 class CoTrained:
-    """Weights of both views, their calibrations (slope, shift) and how they combine."""
+    """Weights of both views, their calibrations (slope, shift), how they combine, and the lexicon
+    of the content view."""
 
-    def __init__(self, views, calibrations, combination):
-        self.views, self.calibrations, self.combination = views, calibrations, combination
+    def __init__(self, views, calibrations, combination, lexicon):
+        self.views, self.calibrations, self.combination, self.lexicon = views, calibrations, combination, lexicon
 
     def scores(self, content: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of good quality: by content, by metadata, together."""
@@ -183,11 +224,21 @@ class CoTrained:
         return logistic(logits[0]), logistic(logits[1]), logistic(both @ self.combination)
 
 
-def features_of(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", n_chars: str = "n_chars") -> DataFrame:
+def _known(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """One label a document: the mean of those that are not null."""
+    return labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.avg(F.col(label).cast("double")).alias("label"))
+
+
+def _held(key: str):
+    """A fifth of the documents, which are not learned from."""
+    return F.pmod(F.xxhash64(key), F.lit(5)) == 0
+
+
+def features_of(docs: DataFrame, lexicon: np.ndarray, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", n_chars: str = "n_chars") -> DataFrame:
     """Key and both views as arrays of floats, one row per row of `docs`."""
 
     def work(part, texts):
-        views = content_features(texts), metadata_features(part.column(2), part.column(3), part.column(4), texts)
+        views = content_features(texts, lexicon), metadata_features(part.column(2), part.column(3), part.column(4))
         lists = [
             pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32()), pa.array(v.ravel())) for v in views
         ]
@@ -198,17 +249,16 @@ def features_of(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
 
 
 def train(
-    features: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality",
+    features: DataFrame, labels: DataFrame, lexicon: np.ndarray, key: str = "doc_id", label: str = "quality",
     rounds: int = ROUNDS, confident: float = CONFIDENT, share: float = PSEUDO_WEIGHT, calibration_rows: int = CALIBRATION_ROWS,
 ) -> CoTrained:
-    """Co-trains on features (of `features_of`) and labels (key and a number in 0..1).
+    """Co-trains on features (of `features_of` with this lexicon) and labels (key and a number in 0..1).
 
     Several labels of one document count by their mean; null labels and labels of unknown
     documents are ignored. A fifth of the labelled documents, chosen by the hash of the key,
     only calibrates. Without labels every score is 1/2.
     """
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.avg(F.col(label).cast("double")).alias("label"))
-    held = F.pmod(F.xxhash64(key), F.lit(5)) == 0
+    known, held = _known(labels, key, label), _held(key)
     table = landed(
         features.join(known, key, "left_outer").select(key, "content", "metadata", "label", F.coalesce(held, F.lit(False)).alias("held_out")),
         "features",
@@ -232,7 +282,7 @@ def train(
     calibrations = [tuple(fit_logistic(np.stack([z, np.ones(len(z))], axis=1), y, np.array([1.0, 0.0]))) for z in logits]
     adjusted = [z * a + b for z, (a, b) in zip(logits, calibrations)]
     combination = fit_logistic(np.stack([*adjusted, np.ones(len(y))], axis=1), y, np.array([0.5, 0.5, 0.0]))
-    return CoTrained(weights, calibrations, combination)
+    return CoTrained(weights, calibrations, combination, lexicon)
 
 
 def score(features: DataFrame, model: CoTrained, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -253,8 +303,9 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", **optio
     Null and empty texts are documents without words, null metadata is its own category;
     repeated rows are scored alike, each for itself. Other columns are not read.
     """
-    features = landed(features_of(docs), "views")
-    return score(features, train(features, labels, label=label, **options))
+    lexicon = lexicon_of(docs, labels, label=label)
+    features = landed(features_of(docs, lexicon), "views")
+    return score(features, train(features, labels, lexicon, label=label, **options))
 
 
 def keep_good(docs: DataFrame, model: CoTrained, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
@@ -263,7 +314,7 @@ def keep_good(docs: DataFrame, model: CoTrained, threshold: float = THRESHOLD, t
 
     def work(part, texts):
         meta = [part.column(names.index(c)) for c in ("lang", "source", "n_chars")]
-        good = model.scores(content_features(texts), metadata_features(*meta, texts))[2] >= threshold
+        good = model.scores(content_features(texts, model.lexicon), metadata_features(*meta))[2] >= threshold
         return part.filter(pa.array(good))
 
     return docs.mapInArrow(by_slice(text, work), docs.schema)

@@ -3,9 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm.components import components
-from sluice.llm.cotraining import classify, features_of, keep_good, train
+from sluice.llm.cotraining import classify, features_of, keep_good, lexicon_of, train
 from sluice.llm.licences import SENTENCES, scan_licences
 from sluice.llm.queries import URL_RULES
 from sluice.llm.registry import QUERIES
@@ -124,12 +125,28 @@ def test_classifier_on_labels_it_has_not_seen(spark):
     assert found.count() == docs.count()
     right = found.join(unseen, "doc_id").selectExpr("avg(cast(kept = (quality = 1) AS INT))", "count(*)").first()
     assert right[0] > 0.97 and right[1] > 100
-    model = train(features_of(docs), seen)
+    lexicon = lexicon_of(docs, seen)
+    model = train(features_of(docs, lexicon), seen, lexicon)
     good = keep_good(docs, model)
     assert good.columns == docs.columns
     assert {r.doc_id for r in good.collect()} == {r.doc_id for r in found.where("kept").collect()}
 
 
+def test_classifier_reads_letters_not_shapes_alone(spark):
+    """Good texts with their letters swapped, a for z, keep every shape; they are rejected, the others are not."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    lexicon = lexicon_of(docs, labels)
+    model = train(features_of(docs, lexicon), labels, lexicon)
+    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi").where("n_chars > 200")
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    swap = F.translate("text", letters + letters.upper(), letters[::-1] + letters[::-1].upper())
+    n = good.count()
+    assert n > 100
+    assert keep_good(good, model).count() > 0.98 * n
+    assert keep_good(good.withColumn("text", swap), model).count() < 0.02 * n
+
+
 def test_classifier_on_odd_rows(spark):
     rows = [(None, None, None, None, None), (1, "", "", "", 0), (1, "a b", None, "s", -5), (2, "x" * 100000, "en", None, 7)] * 2
     docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, score STRING")
