@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.llm.components import landed
-from sluice.llm.cotraining import features_of, keep_good, train
+from sluice.llm.cotraining import features_of, keep_good, lexicon_of, train
 from sluice.llm.debruijn import dedup_substrings
 from sluice.llm.decontaminate import contamination
 from sluice.llm.minhash import keep_one_of_each
@@ -25,8 +25,9 @@ VOCABULARY = "byte_bpe_50k.json"
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the co-trained quality classifier accepts."""
-    model = train(landed(features_of(docs), "views"), table(spark, sf_dir, "labels"))
-    return keep_good(docs, model)
+    labels = table(spark, sf_dir, "labels")
+    lexicon = lexicon_of(docs, labels)
+    return keep_good(docs, train(landed(features_of(docs, lexicon), "views"), labels, lexicon))
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +41,12 @@ def distinct_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     n_chars follows the text. Documents that lose all their words go; those without words
     on input stay.
     """
-    cut = dedup_substrings(docs)
+    own = {c: f"_own_{c}" for c in ("n_words", "n_removed")}
+    cut = dedup_substrings(docs.withColumnsRenamed(own))
     kept = cut.where("n_removed = 0 OR n_removed < n_words")
     size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return kept.withColumn("n_chars", size).select(docs.columns)
+    sized = kept.withColumn("n_chars", size).drop(*own)
+    return sized.withColumnsRenamed({there: here for here, there in own.items()}).select(docs.columns)
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
