@@ -22,5 +22,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Bytes of rows handed to a Python worker at once, where the session does not say. Spark's own
+# 64 MB are held several times over, by executor and worker, for every running task.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(*BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
