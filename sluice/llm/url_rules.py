@@ -73,14 +73,26 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.trim(F.replace("link", F.lit("&amp;"), F.lit("&"))).alias("link"),
     )
     full = parts.select("source", _resolved(F.col("link"), F.col("host"), F.col("path")).alias("full"))
-    edges = full.select("source", address(F.col("full")).alias("target"))
+    # Behind the outer generator, the filter does not take the place of the columns above: inlined
+    # into each other, they make code that no longer compiles.
+    pair = F.struct("source", address(F.col("full")).alias("target"))
+    edges = full.select(F.explode_outer(F.array(pair)).alias("edge")).select("edge.source", "edge.target")
     return edges.where("source IS NOT NULL AND target IS NOT NULL AND source <> target").distinct()
 
 
-def fitting_rules(urls: DataFrame, rules: DataFrame, row: str) -> DataFrame:
-    """Per value of `row`: rule and action of the longest rule that fits its host and path."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def label_counts(rules: DataFrame) -> list[int]:
+    """The numbers of labels that hosts of rules have: few, however many the rules are."""
+    labels = F.size(F.split(F.substring_index("rule", "/", 1), r"\."))
+    return sorted(r.n for r in rules.select(labels.alias("n")).distinct().collect())
+
+
+def fitting_rules(urls: DataFrame, rules: DataFrame, row: str, counts: list[int]) -> DataFrame:
+    """Per value of `row`: rule and action of the longest rule that fits its host and path.
+
+    `counts` are the `label_counts` of the rules: a host has one suffix for each, however long it is.
+    """
+    # A host of fewer labels is its own suffix, which is then looked up once.
+    suffixes = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in counts]).cast("array<string>"))
     split = rules.select(
         "rule", "action", F.substring_index("rule", "/", 1).alias("suffix"), F.expr("substring(rule, instr(rule, '/'))").alias("start")
     )
@@ -97,19 +109,21 @@ def judge_urls(
 
     `rules` has rule ("host/path") and action ("block" or "allow"). `edges` are further pairs
     of URLs known to be aliases, such as recorded redirects. A null URL, or one without
-    "://", has no host and no alias and is allowed. Of two equal rules, one that blocks
+    "://", has no host and no alias and is allowed. A rule without a slash fits nothing. Of two equal rules, one that blocks
     wins. Repeated pages are rows of their own; other columns are not read. `component` is
-    the least address of the page's aliases, null where it has none.
+    the least address of the page's aliases, null where it has none. Hosts and paths of any
+    length are judged whole, at a cost in proportion to their length.
     """
     spark = pages.sparkSession
-    rules = rules.select("rule", "action").where("rule IS NOT NULL")
+    rules = rules.select("rule", "action").where("instr(rule, '/') > 0")
     links = spark.createDataFrame([], "source STRING, target STRING") if html is None else link_edges(pages, url, html)
     if edges is not None:
         a, b = edges.columns
         links = links.union(edges.select(address(F.col(a)), address(F.col(b))))
     aliases = components(links)
     named = aliases.select("node", F.regexp_extract("node", r"^[^/?]*", 0).alias("host"), F.regexp_extract("node", r"^[^/?]*([^?]*)", 1).alias("path"))
-    told = fitting_rules(named, rules, "node")
+    counts = label_counts(rules)
+    told = fitting_rules(named, rules, "node", counts)
     spread = (
         aliases.join(told, "node")
         .groupBy("component")
@@ -123,7 +137,7 @@ def judge_urls(
     )
     # Pages of one host and path share their rule, so it is looked up once for them all.
     places = own.select("host", "path").distinct().withColumn("_place", F.struct("host", "path"))
-    ruled = fitting_rules(places, rules, "_place").select("_place.host", "_place.path", "rule", "action")
+    ruled = fitting_rules(places, rules, "_place", counts).select("_place.host", "_place.path", "rule", "action")
     return (
         own.join(ruled, ["host", "path"], "left_outer")
         .join(by_alias, "node", "left_outer")

@@ -10,7 +10,7 @@ from sluice.llm.cotraining import classify, features_of, keep_good, lexicon_of,
 from sluice.llm.licences import SENTENCES, scan_licences
 from sluice.llm.queries import URL_RULES
 from sluice.llm.registry import QUERIES
-from sluice.llm.url_rules import judge_urls
+from sluice.llm.url_rules import judge_urls, link_edges
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -95,6 +95,31 @@ def test_rules_and_aliases(spark):
     assert {r.verdict for r in judge_urls(df, table.limit(0)).collect()} == {"allow"}
 
 
+def test_long_hosts_and_rules_of_many_labels(spark):
+    """Only suffixes as long as some rule are made; the longest rule still wins, in hosts of any length."""
+    deep = ".".join(f"l{i}" for i in range(20000))
+    rules = [("net/", "block"), ("b.c.d.net/", "allow"), (".net/", "block"), ("l19999/", "block"), (f"{deep}/x", "allow"), ("", "block"), ("noslash", "block")]
+    hosts = [deep, "a." * 30000 + "net", "a.b.c.d.net", "b.c.d.net", "c.d.net", "a..net", "net", "xnet", "net.", ".", "", "l19999"]
+    pages = [(i, f"http://{h}{path}") for i, (h, path) in enumerate((h, path) for h in hosts for path in ("", "/", "/x" * 5000))]
+    df = spark.createDataFrame(pages, "page_id LONG, url STRING")
+    found = {r.page_id: r for r in judge_urls(df, spark.createDataFrame(rules, "rule STRING, action STRING"), html=None).collect()}
+    given = [r for r in rules if "/" in r[0]]
+    for i, url in pages:
+        host, path = plain_url(url)
+        rule, action = plain_rule(host, path, given)
+        assert (found[i].host, found[i].path, found[i].rule, found[i].verdict) == (host, path, rule, action or "allow")
+
+
+def test_link_edges_compile(spark):
+    """The columns of the edges are not inlined into the filter on them."""
+    pages = spark.createDataFrame([(1, "http://a.net/b", "<link rel=canonical href='/c'>")], "page_id LONG, url STRING, html STRING")
+    edges = link_edges(pages)
+    assert [tuple(r) for r in edges.collect()] == [("a.net/b", "a.net/c")]
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "target" in line]
+    assert filters and not any("regexp" in line.lower() for line in filters)
+
+
 def test_licence_sequences(spark):
     name = {v: k for k, v in reversed(SENTENCES.items())}
     say = lambda *ids: ".\n".join(name[i].capitalize() for i in ids) + "."
