@@ -11,7 +11,7 @@ from sluice.llm.cotraining import classify
 from sluice.llm.debruijn import dedup_substrings
 from sluice.llm.decontaminate import contamination
 from sluice.llm.divergence import AUDIT_SQL, audit_sources
-from sluice.llm.licences import scan_licences
+from sluice.llm.licences import scan_licences, scan_sql
 from sluice.llm.minhash import near_duplicates
 from sluice.llm.packing import pack, token_pieces
 from sluice.llm.pivot_codes import compress, with_label_errors
@@ -41,7 +41,7 @@ def op3(spark, sf_dir):
     return repetition_rules(table(spark, sf_dir, "documents"))
 
 
-@query("op4_licence_sentences")
+@query("op4_licence_sentences", scan_sql())
 def op4(spark, sf_dir):
     found = scan_licences(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))

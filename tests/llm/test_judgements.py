@@ -9,7 +9,7 @@ from sluice.llm.components import components
 from sluice.llm.cotraining import classify, features_of, keep_good, lexicon_of, train
 from sluice.llm.licences import SENTENCES, scan_licences
 from sluice.llm.queries import URL_RULES
-from sluice.llm.registry import QUERIES
+from sluice.llm.registry import QUERIES, SQL
 from sluice.llm.url_rules import judge_urls, link_edges
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -142,6 +142,94 @@ def test_licence_sequences(spark):
         scan_licences(spark.createDataFrame(rows, "doc_id LONG, text STRING, x STRING"), sentences={"no mark": "a"})
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GNU = """This %s is free software%s you can redistribute it and/or modify
+it under the terms of the GNU %s as published by
+the Free Software Foundation%s either version %s of the License, or
+(at your option) any later version.
+
+This %s is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU %s for more details."""
+BSD = """Copyright (c) 2020, Some Body
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_NAMES = """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def gnu(name, version, thing="program", colon=":", semicolon=","):
+    return GNU % (thing, colon, name, semicolon, version, thing, name)
+
+
+def comment(text, mark):
+    return "".join(f"{mark} {line}".rstrip() + "\n" for line in text.split("\n"))
+
+
+PRINTED_NOTICES = {
+    APACHE: "Apache-2.0",
+    BSD: "BSD-2-Clause",
+    BSD + BSD_NAMES: "BSD-3-Clause",
+    BSD[: BSD.index("1.")]: "LicenseRef-BSD",
+    gnu("General Public License", "3"): "GPL-3.0-or-later",
+    gnu("General Public License", "2", colon=";", semicolon=";"): "GPL-2.0-or-later",
+    gnu("Lesser General Public License", "2.1", "library", ";", ";"): "LGPL-2.1-or-later",
+    gnu("Affero General Public License", "3"): "AGPL-3.0-or-later",
+    "MIT License\n\nCopyright (c) 2020 A. Body\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n": "MIT",
+}
+LICENCE_LINES = {
+    "SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: GPL-2.0-or-later\npackage main;": "GPL-2.0-or-later",
+    "/* spdx-license-identifier : LGPL-2.1-only */\nint x;": "LGPL-2.1-only", "Released under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+    "SPDX-License-Identifier:\nMITx": "", "The identifier: MIT. A license it is not.": "",
+}
+
+
+def test_printed_notices_and_the_sql(spark):
+    """Notices as files print them: wrapped, with blank lines, behind comment marks, by either line end; SQL agrees on all."""
+    cases = [(text, wanted) for text, wanted in (PRINTED_NOTICES | LICENCE_LINES).items()]
+    cases += [(comment(text, mark), wanted) for text, wanted in PRINTED_NOTICES.items() for mark in ("#", " *", "//")]
+    cases += [(text.replace("\n", "\r\n"), wanted) for text, wanted in LICENCE_LINES.items()]
+    cases += [(APACHE + "\n\n" + BSD + BSD_NAMES, "Apache-2.0,BSD-3-Clause"), (None, ""), ("", ""), ("\f\f\n\n \n", ""), ("license.\n" * 5000, "")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id LONG, text STRING")
+    found = {r.doc_id: (",".join(r.sentence_ids), ",".join(r.licences)) for r in scan_licences(docs).collect()}
+    wrong = [(text, wanted, found[i]) for i, (text, wanted) in enumerate(cases) if found[i][1] != wanted]
+    assert not wrong, wrong[:3]
+    import duckdb
+
+    with duckdb.connect() as db:
+        db.register("documents", docs.toPandas())
+        assert {r[0]: r[1:] for r in db.execute(SQL["op4_licence_sentences"]).fetchall()} == found
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+        told = db.execute(SQL["op4_licence_sentences"]).fetchall()
+    query = QUERIES["op4_licence_sentences"](spark, SF_DIR).select("doc_id", "sentence_ids", "licences")
+    assert sorted(told) == sorted(tuple(r) for r in query.collect())
+
+
 def test_classifier_on_labels_it_has_not_seen(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
