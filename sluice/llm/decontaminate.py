@@ -7,15 +7,20 @@ they are extended to whole windows by a join on the hash of all their words. Ite
 fewer words are one window of their own length, winnowed at that length.
 
 The benchmark's fingerprints reach the scan of the documents in blocks of at most
-`BLOCK` of them; a larger benchmark costs more scans, never more memory.
+`BLOCK` of them; a larger benchmark costs more scans, never more memory. Candidates are
+written before they are joined, and documents are joined with names of item sets: a
+passage of many windows in many items adds one name to a document, not a row for each pair.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from sluice.llm.components import landed
 from sluice.llm.text import ALNUM, LOWER, Texts, Words, batch_of, by_slice, grams, ids_of, sliding
 
 WINDOW = 10
@@ -99,53 +104,59 @@ def contamination(
     id mark words but are not listed. Other columns are not read.
     """
     spark = docs.sparkSession
-    # Each scan of the same rows numbers them alike.
-    wanted = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(key).alias("key"), F.col(text).alias("text"))
     known = benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).alias("text")).mapInArrow(
         by_slice("text", _item_windows(window, gram)), "item long, length int, mark long, whole long"
     )
-    blocks = max(1, -(-known.count() // block))
-    results = None
+    # All windows of a passage stand in the same items: what documents are joined with is the
+    # name of that set, once a window, and the set's items only once a document.
+    ids = F.array_sort(F.collect_set(F.col("item").cast("string")))
+    sets = known.groupBy("length", "mark", "whole").agg(ids.alias("items"))
+    listed = landed(sets.withColumn("items_name", F.sha2(F.concat_ws(",", "items"), 256)), "benchmark-windows")
+    blocks = max(1, -(-listed.count() // block))
+    wanted = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(key).alias("key"), F.col(text).alias("text"))
+    if blocks > 1:
+        # Rows need the same numbers in each scan, also where their order does not repeat.
+        wanted = landed(wanted, "numbered-documents")
+    kind = docs.schema[key].dataType.simpleString()
+    found = f"uid long, key {kind}, n_words long, found array<struct<at: long, length: int, mark: long, whole: long>>"
+    scans = []
     for b in range(blocks):
-        part = known.where(F.pmod(F.xxhash64("mark"), F.lit(blocks)) == b)
-        marks: dict[int, list[int]] = {}
-        for r in part.select("length", "mark").distinct().toLocalIterator():
-            marks.setdefault(r.length, []).append(r.mark)
-        sent = spark.sparkContext.broadcast({n: np.unique(np.array(m, np.int64).view(np.uint64)) for n, m in marks.items()})
-        kind = docs.schema[key].dataType.simpleString()
-        scanned = wanted.mapInArrow(
-            _document_windows(sent, gram),
-            f"uid long, key {kind}, n_words long, found array<struct<at: long, length: int, mark: long, whole: long>>",
-        )
-        results = scanned if results is None else results.unionByName(scanned)
-    opened = results.select("uid", "key", "n_words", F.explode_outer("found").alias("w")).select("uid", "key", "n_words", "w.*")
-    real = F.col("item_key").isNotNull()
-    hits = opened.join(
-        known.select("length", "mark", "whole", F.struct("item").alias("item_key")).distinct(), ["length", "mark", "whole"], "left_outer"
-    )
+        part = listed.where(F.pmod(F.xxhash64("mark"), F.lit(blocks)) == b)
+        marks = part.select("length", "mark").distinct().toArrow()
+        length, mark = (marks.column(n).to_numpy() for n in ("length", "mark"))
+        sent = spark.sparkContext.broadcast({int(n): np.unique(mark[length == n].view(np.uint64)) for n in np.unique(length)})
+        scans.append(landed(wanted.mapInArrow(_document_windows(sent, gram), found), "candidate-windows"))
+    # Only documents with candidates are joined; no row is without a key.
+    opened = functools.reduce(DataFrame.unionByName, scans).select("uid", F.explode("found").alias("w")).select("uid", "w.*")
+    hits = opened.join(listed.drop("items"), ["length", "mark", "whole"]).groupBy("uid").agg(
+        F.array_sort(F.collect_set(F.struct("at", "length"))).alias("spans"), F.collect_set("items_name").alias("names")
+    )
+    hits = landed(hits, "hit-documents")
+    named = listed.select("items_name", "items").distinct()
+    items = hits.select("uid", F.explode("names").alias("items_name")).join(named, "items_name").groupBy("uid").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("item_ids")
+    )
     end = F.lit(0).cast("long")
+    covered = F.aggregate(
+        "spans",
+        F.struct(end.alias("end"), end.alias("total")),
+        lambda s, x: F.struct(
+            F.greatest(s["end"], x["at"] + x["length"]).alias("end"),
+            (s["total"] + F.greatest(end, x["at"] + x["length"] - F.greatest(s["end"], x["at"]))).alias("total"),
+        ),
+        lambda s: s["total"],
+    )
+    judged = hits.select("uid", covered.alias("n_hit")).join(items, "uid")
+    listed_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return (
-        hits.groupBy("uid")
-        .agg(
-            F.first("key").alias(key),
-            F.first("n_words").alias("n_words"),
-            F.array_sort(F.collect_set(F.when(real, F.struct("at", "length")))).alias("spans"),
-            F.array_sort(F.collect_set(F.col("item_key.item").cast("string"))).alias("item_ids"),
-        )
+        scans[0]
+        .join(judged, "uid", "left_outer")
         .select(
-            key,
+            F.col("key").alias(key),
             "n_words",
-            F.aggregate(
-                "spans",
-                F.struct(end.alias("end"), end.alias("total")),
-                lambda s, x: F.struct(
-                    F.greatest(s["end"], x["at"] + x["length"]).alias("end"),
-                    (s["total"] + F.greatest(end, x["at"] + x["length"] - F.greatest(s["end"], x["at"]))).alias("total"),
-                ),
-                lambda s: s["total"],
-            ).alias("n_hit"),
-            F.size("item_ids").cast("long").alias("n_items"),
-            "item_ids",
-            (F.size("spans") > 0).alias("contaminated"),
+            F.coalesce("n_hit", end).alias("n_hit"),
+            F.size(listed_ids).cast("long").alias("n_items"),
+            listed_ids.alias("item_ids"),
+            F.col("n_hit").isNotNull().alias("contaminated"),
         )
     )

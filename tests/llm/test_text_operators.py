@@ -1,13 +1,16 @@
 """Repetition rules, decontamination, token files and packing against plain versions."""
 
+import hashlib
 import random
 from collections import defaultdict
 
 import pytest
 
 import brute
+from sluice.llm import queries as _queries  # noqa: F401  (fills the registry)
 from sluice.llm.decontaminate import contamination
 from sluice.llm.packing import CAPACITY, fullest, pack, plan, token_pieces
+from sluice.llm.registry import QUERIES
 from sluice.llm.repetition import measure, repetition_rules
 from sluice.llm.text import Texts
 from sluice.llm.token_blocks import open_token_blocks, pack_bits, read_documents, read_ids, unpack_bits, write_token_blocks
@@ -84,6 +87,34 @@ def plain_ids():
     return lambda text: model.encode(text or "", add_special_tokens=False).ids
 
 
+def test_contamination_by_passages_of_many_items(spark, rows):
+    """A long passage in many items and documents, windowless and null texts, in one block and in many."""
+    passage = " ".join(f"w{i}" for i in range(300))
+    items = [(i, passage) for i in range(40)] + [(100 + i, passage + f" tail{i} of its own") for i in range(20)] + [(None, "a null id marks words"), (500, "two words"), (501, "")]
+    texts = [passage, "x " + passage + " y", passage[:-20], "", None, "a null id marks words", "two words two words", "!!", passage + " tail3 of its own and more"] * 5
+    bench = spark.createDataFrame(items, "item_id LONG, text STRING")
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "uid LONG, text STRING, found STRING")
+    expected = brute.contamination(list(enumerate(texts)), items)
+    for block in (10**6, 100):
+        found = contamination(docs, bench, key="uid", block=block).collect()
+        assert len(found) == len(texts)
+        assert {r.uid: (r.n_words, r.n_hit, r.item_ids) for r in found} == expected
+        assert all((r.n_items, r.contaminated) == (len(r.item_ids), r.n_hit > 0) for r in found)
+
+
+def test_contamination_query(spark):
+    """The registered query equals the brute version on the whole of a given table."""
+    folder = "/root/testdata/sf0.001"
+    pairs = {n: [tuple(r) for r in spark.read.parquet(f"{folder}/{n}.parquet").select(k, "text").collect()] for n, k in (("documents", "doc_id"), ("benchmark", "item_id"))}
+    expected = brute.contamination(pairs["documents"], pairs["benchmark"])
+    found = QUERIES["op8_winnowing"](spark, folder).collect()
+    assert len(found) == len(pairs["documents"])
+    for r, (doc, _) in zip(sorted(found, key=lambda r: r.doc_id), sorted(pairs["documents"])):
+        n_words, n_hit, items = expected[doc][:3]
+        assert (r.doc_id, r.n_words, r.n_hit, r.n_items) == (doc, n_words, n_hit, len(items))
+        assert r.items_sha256 == hashlib.sha256(",".join(items).encode()).hexdigest()
+
+
 def test_encoder_agrees_with_the_library(plain_ids):
     import pyarrow as pa
 
