@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from types import ModuleType
 
 import numpy as np
 
@@ -56,16 +58,25 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _held() -> dict[str, dict]:
+    """State that a process keeps by vocabulary file. The code here travels by value, so what its classes or
+    modules held would be sent along with every function, and be made anew in every task."""
+    return sys.modules.setdefault("_sluice_encoders", ModuleType("_sluice_encoders")).__dict__.setdefault("held", {})
+
+
 class Encoder:
-    """Encodes many texts at once; one per worker and vocabulary file."""
+    """Encodes many texts at once; one state per worker and vocabulary file (`at`).
 
-    _held: dict[str, Encoder] = {}
+    The library does not give back all memory of a vocabulary, about 4 MB each time it is read.
+    """
 
     @classmethod
     def at(cls, path: str) -> Encoder:
-        if path not in cls._held:
-            cls._held[path] = cls(path)
-        return cls._held[path]
+        if path not in _held():
+            _held()[path] = vars(cls(path))
+        encoder = cls.__new__(cls)
+        encoder.__dict__ = _held()[path]
+        return encoder
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -153,6 +153,27 @@ def test_token_blocks(spark, rows, plain_ids, tmp_path):
     assert read_documents(spark, path).count() == 0
 
 
+def test_a_worker_keeps_one_encoder_and_is_sent_none(spark, rows, tmp_path):
+    import os
+
+    from pyspark import cloudpickle
+
+    from sluice.llm import token_blocks
+    from sluice.llm.text import batch_of
+
+    vocabulary = vocabulary_path("byte_bpe_50k.json")
+    # The driver looks at the vocabulary before the function is sent.
+    write_token_blocks(rows(ODD), f"file://{tmp_path}/blocks", vocabulary)
+    assert len(cloudpickle.dumps(token_blocks._write_blocks(vocabulary, 0, 16, 100))) < 1 << 20
+
+    def held(batches):
+        for _ in batches:
+            yield batch_of(worker=[os.getpid()], encoder=[id(Encoder.at(vocabulary).tokenizer)])
+
+    found = spark.range(0, 24, 1, 24).mapInArrow(held, "worker long, encoder long").collect()
+    assert len(found) == 24 and len(set(found)) == len({r.worker for r in found})
+
+
 def check_packing(found, capacity):
     bins = defaultdict(list)
     for r in found:
