@@ -67,12 +67,15 @@ def page_incidents(failed: DataFrame) -> DataFrame:
     )
 
 
-def conversion_problems(members: Sequence[Column], schema: T.StructType) -> list[Column]:
-    """For each field a message where its member is present but does not convert, else null."""
+def conversion_problems(
+    members: Sequence[Column], schema: T.StructType, converted: Sequence[Column] | None = None
+) -> list[Column]:
+    """For each field a message where its member is present but does not convert, else null.
+    `converted` are the members as the fields' types, where they are there already."""
     checks = []
-    for found, field in zip(members, schema.fields):
+    for n, (found, field) in enumerate(zip(members, schema.fields)):
         present = F.coalesce(~F.is_variant_null(found), F.lit(False))
-        lost = present & V.convert(found, field.dataType).isNull()
+        lost = present & (converted[n] if converted else V.convert(found, field.dataType)).isNull()
         checks.append(F.when(lost, _not_as(field, V.text_of(found))))
     return checks
 

@@ -68,14 +68,16 @@ def typed_rows(records: DataFrame, schema: T.StructType) -> DataFrame:
     """endpoint, page, pos, the columns of `schema`, and a list of the row's problems: values that
     are present but do not convert (they become null), and nulls in columns declared without.
 
-    Each member is looked up once, for its column and its check alike.
+    Each member is looked up and converted once, for its column and its check alike.
     """
     keep = ("endpoint", "page", "pos")
     members = [V.flattened(F.col("value"), f.name).alias(f"_member{n}") for n, f in enumerate(schema.fields)]
     found = [F.col(f"_member{n}") for n in range(len(members))]
-    columns = [V.convert(m, f.dataType).alias(f.name) for m, f in zip(found, schema.fields)]
-    lost = gathered(conversion_problems(found, schema)).alias("_lost")
-    rows = records.select(*keep, *members).select(*keep, *columns, lost)
+    converted = [F.col(f"_converted{n}") for n in range(len(members))]
+    columns = [V.convert(m, f.dataType).alias(f"_converted{n}") for n, (m, f) in enumerate(zip(found, schema.fields))]
+    lost = gathered(conversion_problems(found, schema, converted)).alias("_lost")
+    named = [c.alias(f.name) for c, f in zip(converted, schema.fields)]
+    rows = records.select(*keep, *members).select(*keep, *found, *columns).select(*keep, *named, lost)
     # A value that was there but did not convert is reported as that, and not as a null too.
     nulls = F.when(F.size("_lost") == 0, gathered(null_problems(schema))).otherwise(F.col("_lost"))
     return rows.select(*keep, *[f"`{n}`" for n in schema.names], nulls.alias(PROBLEMS))

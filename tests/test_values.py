@@ -104,3 +104,21 @@ def test_strict_boolean(spark):
         one = spark.createDataFrame([(bad,)], "w STRING")
         with pytest.raises(Exception, match="Invalid boolean value"):
             one.select(V.strict_boolean(F.col("w"))).collect()
+
+
+def test_typed_rows_convert_each_member_once(values):
+    from sluice.plans.job import PROBLEMS, typed_rows
+
+    schema = T.StructType().add("a", T.DoubleType()).add("b.c", T.DoubleType(), False)
+    texts = ['{"a": "1.5", "b": {"c": 2}}', '{"a": "x", "b.c": "nan"}', '{"a": null, "b": {"c": "y"}}', "{}"]
+    records = values(*texts).select(F.lit("e").alias("endpoint"), F.lit(1).alias("page"), F.col("n").alias("pos"), "value")
+    found = typed_rows(records, schema)
+    got = {r.pos: (r.a, str(r["b.c"]), r[PROBLEMS]) for r in found.collect()}
+    assert got == {
+        0: (1.5, "2.0", []),
+        1: (None, "nan", ["a is not double: x"]),
+        2: (None, "None", ["b.c is not double: y"]),
+        3: (None, "None", ["b.c is null"]),
+    }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[+-]?nan$") == len(schema)
