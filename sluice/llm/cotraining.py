@@ -55,11 +55,20 @@ def _terms(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return row[inside], (names[inside] % np.uint64(GRAMS)).astype(np.int64), words.row, (words.hash % np.uint64(TERMS)).astype(np.int64) + GRAMS
 
 
+def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """Text and label of the documents that are learned from.
+
+    Every text moves once, about 1 x input, however many labels there are: a way for labels that can be
+    broadcast would hide that from trial runs, as it ends where they grow.
+    """
+    known = _known(labels, key, label).where(~_held(key))
+    return docs.select(F.col(key), F.col(text)).join(known.hint("merge"), key).select(text, "label")
+
+
 def lexicon_of(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:
     """Smoothed log-odds of good against bad for each class of 4-grams and words, counted over all
     labelled rows that are not held out; zeros without labels."""
-    known = _known(labels, key, label).where(~_held(key))
-    texts = docs.select(F.col(key), F.col(text)).join(known, key).select(text, "label")
+    texts = _labelled(docs, labels, key, text, label)
 
     def work(batches):
         total = np.zeros((GRAMS + TERMS, 2))

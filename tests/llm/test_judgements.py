@@ -274,3 +274,16 @@ def test_queries_of_whole_tables(spark):
     for name, key in (("op1_redirect_equivalence", "page_id"), ("op4_licence_sentences", "doc_id")):
         found = QUERIES[name](spark, "/root/testdata/sf0.001").toPandas()
         assert found[key].is_unique and len(found) >= 200 or name.startswith("op1")
+
+
+def test_texts_meet_their_labels_the_same_way_whatever_the_number(spark):
+    from sluice.llm.cotraining import _labelled
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(None, "x"), (3, "again")], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 40, 2)] + [(2, 1), (None, 1), (99, 1)], "doc_id LONG, quality INT")
+    found = _labelled(docs, labels, "doc_id", "text", "quality")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    held = {r[0] for r in spark.range(100).where("pmod(xxhash64(id), 5) = 0").collect()}
+    learned = [i for i in range(0, 40, 2) if i not in held]
+    assert {r.text: r.label for r in found.collect()} == {f"text {i}": 0.5 if i == 2 else 0.0 for i in learned}
